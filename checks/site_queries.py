@@ -37,8 +37,9 @@ _WIDE = """
 WITH r AS (SELECT *, lag(start0) OVER w AS prev FROM fx_obs WINDOW w AS (PARTITION BY sample, tag, chrom, strand ORDER BY start0)),
 c AS (SELECT *, max(CASE WHEN prev IS NULL OR start0 - (prev + 1) > 9000 THEN start0 END) OVER (
              PARTITION BY sample, tag, chrom, strand ORDER BY start0) AS cluster FROM r),
-modes AS (SELECT sample, tag, chrom, strand, cluster, size, start0 FROM c GROUP BY ALL
-          QUALIFY row_number() OVER (PARTITION BY sample, tag, chrom, strand, cluster, size ORDER BY count(*) DESC, start0) = 1),
+k AS (SELECT sample, tag, chrom, strand, cluster, size, start0, count(*) AS n FROM c GROUP BY ALL),
+modes AS (SELECT * EXCLUDE (n) FROM k
+          QUALIFY row_number() OVER (PARTITION BY sample, tag, chrom, strand, cluster, size ORDER BY n DESC, start0) = 1),
 g AS (SELECT sample, tag, chrom, strand, cluster, size, median(score) AS score, CAST(sum(n_reads) AS BIGINT) AS n_reads,
              count(*) AS n_variants FROM c GROUP BY sample, tag, chrom, strand, cluster, size)
 SELECT g.*, modes.start0, modes.start0 + 1 AS end0 FROM g JOIN modes USING (sample, tag, chrom, strand, cluster, size)"""
@@ -57,8 +58,8 @@ GROUP BY sample, tag, chrom, strand, start0""", "fx_obs"))
 def site_names(spark, d):
     names = st.site_names(_obs(spark, d))
     return names.select("sample", "tag", "chrom", "strand", "cluster", F.size("name_list").cast("bigint").alias("n_names"),
-                        F.aggregate("name_list", F.lit(0).cast("bigint"), lambda s, x: s + x.n_value).alias("n_obs"),
-                        F.array_join(F.transform("name_list", lambda x: x.name), ",").alias("names"))
+                        F.aggregate("name_list", F.lit(0).cast("bigint"), lambda s, x: s + x["n_value"]).alias("n_obs"),
+                        F.array_join(F.transform("name_list", lambda x: x["name"]), ",").alias("names"))
 
 
 _EVIDENCE = f"""
@@ -243,7 +244,7 @@ def full_annotation(spark, d):
 
 @query("abundance_estimate")
 def abundance_estimate(spark, d):
-    return fr.estimate_abundance(fr.correct_sizes(fr.fragment_counts(_obs(spark, d))), iterations=20)
+    return fr.estimate_abundance(fr.correct_sizes(fr.fragment_counts(_obs(spark, d))), iterations=10)
 
 
 @query("top_sites", duck(_FRAG + """

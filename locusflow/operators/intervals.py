@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from locusflow.operators.scaling import salted_join, tiled_scan
+from locusflow.operators.scaling import tiled_scan
 from locusflow.schema import PROMOTER_TIERS, SPAN, WINDOWS, run_keys
 
 BIN = 16_384  # bin width of the overlap join, bp
@@ -123,44 +123,49 @@ def exons(tx: DataFrame) -> DataFrame:
 
 
 def _spans(df: DataFrame) -> DataFrame:
-    """Distinct non-empty spans with their number of rows."""
-    return df.filter("start0 < end0").groupBy(*SPAN).agg(F.count(F.lit(1)).alias("n"))
+    """Distinct non-empty spans: positions shared by runs and strands are looked up once."""
+    return df.filter("start0 < end0").select(*SPAN).distinct()
 
 
-def _binned(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
-    first = F.floor(F.col(start) / F.lit(width))
-    last = F.floor((F.col(end) - 1) / F.lit(width))
-    return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+def _bins(start: str, end: str, width: int) -> tuple[Column, Column]:
+    return F.floor(F.col(start) / F.lit(width)), F.floor((F.col(end) - 1) / F.lit(width))
 
 
-def overlap_pairs(spans: DataFrame, b: DataFrame, bin_width: int = BIN) -> DataFrame:
-    """Distinct left spans with every overlapping row of ``b`` (columns prefixed ``b_``)."""
-    right = b.filter("start0 < end0").select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
-    right = _binned(right, "b_start0", "b_end0", bin_width).withColumnRenamed("_first", "_b_first")
-    right = right.withColumn("chrom", F.col("b_chrom"))
-    left = _binned(spans.select(*SPAN), "start0", "end0", bin_width)
-    # a bin holds at most bin_width distinct point spans on the left; hot bins of b are salted
-    pairs = salted_join(right, left, ["chrom", "_bin"])
-    return (pairs.filter((F.col("start0") < F.col("b_end0")) & (F.col("b_start0") < F.col("end0"))
-                         & (F.col("_bin") == F.greatest("_first", "_b_first")))
-            .select(*SPAN, *[f"b_{c}" for c in b.columns]))
+def _binned(df: DataFrame, prefix: str, width: int) -> DataFrame:
+    first, last = _bins(f"{prefix}start0", f"{prefix}end0", width)
+    return df.withColumn(f"_{prefix}first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, how: str = "inner", bin_width: int = BIN) -> DataFrame:
+def _prefixed(b: DataFrame) -> DataFrame:
+    return b.filter("start0 < end0").select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
+
+
+def overlap_join(a: DataFrame, b: DataFrame, how: str = "inner", bin_width: int = BIN, points: bool = False) -> DataFrame:
     """Rows of ``a`` with the rows of ``b`` sharing at least one base; ``b`` columns are prefixed ``b_``.
 
     ``how`` is ``inner``, ``left`` (unmatched rows keep NULLs) or ``anti`` (unmatched rows only).
-    ``b`` may be a union of labelled sets: the label is then part of the result.
+    ``b`` may be a union of labelled sets: the label is then part of the result. Both sides meet in bins
+    of ``bin_width`` bp; a pair is kept in the first bin it shares. ``points`` says that ``a`` holds
+    one-base intervals, which lie in a single bin, so that a left join needs no second pass.
     """
-    spans = _spans(a)
+    columns = [*a.columns, *[f"b_{c}" for c in b.columns]]
     if how == "anti":
         # pair-free: rows whose span overlaps something are removed
-        hit = span_profile(spans, b).filter("n_overlap > 0").select(*SPAN)
-        return salted_join(a, hit, SPAN, "left_anti", counts=spans).select(*a.columns)
+        hit = span_profile(_spans(a), b).filter("n_overlap > 0").select(*SPAN)
+        return a.join(hit, SPAN, "left_anti").select(*a.columns)
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
-    pairs = overlap_pairs(spans, b, bin_width)
-    return salted_join(a, pairs, SPAN, how, counts=spans).select(*a.columns, *[f"b_{c}" for c in b.columns])
+    right = _binned(_prefixed(b), "b_", bin_width)
+    meets = ((F.col("chrom") == F.col("b_chrom")) & (F.col("a_bin") == F.col("_bin"))
+             & (F.col("start0") < F.col("b_end0")) & (F.col("b_start0") < F.col("end0")))
+    if points:
+        left = a.withColumn("a_bin", _bins("start0", "end0", bin_width)[0])
+        return left.join(right, meets, how).select(*columns)
+    left = _binned(a.filter("start0 < end0"), "", bin_width).withColumnRenamed("_bin", "a_bin")
+    pairs = left.join(right, meets & (F.col("_bin") == F.greatest("_first", "_b_first"))).select(*columns)
+    if how == "inner":
+        return pairs
+    return pairs.unionByName(overlap_join(a, b, "anti"), allowMissingColumns=True)
 
 
 def label_sets(**sets: DataFrame) -> DataFrame:
@@ -208,7 +213,7 @@ def overlap_count(a: DataFrame, b: DataFrame, name: str = "n_overlap") -> DataFr
     """Number of ``b`` features overlapping each row of ``a``, zero included; cost independent of the overlaps."""
     spans = _spans(a)
     counts = span_profile(spans, b).select(*SPAN, F.col("n_overlap").alias(name))
-    return (salted_join(a, counts, SPAN, "left", counts=spans)
+    return (a.join(counts, SPAN, "left")
             .withColumn(name, F.coalesce(name, F.lit(0))).select(*[c for c in a.columns if c != name], name))
 
 
@@ -257,15 +262,15 @@ def closest(a: DataFrame, b: DataFrame, ties: str = "all", signed: str | None =
                         F.struct(*[F.col(c).alias(f"b_{c}") for c in _first_order(b.columns)]).alias("f")))
     if ties == "first":
         features = features.groupBy("chrom", "side", "pos").agg(F.min("f").alias("f"))
-    apart = (salted_join(asked, features, ["chrom", "side", "pos"])
+    apart = (asked.join(features, ["chrom", "side", "pos"])
              .select(*SPAN, "_d", (F.col("side") == "R").alias("_right"), "f.*"))
-    touching = overlap_pairs(spans, b).withColumn("_d", F.lit(0)).withColumn("_right", F.lit(False))
+    touching = overlap_join(spans.select(*SPAN), b).withColumn("_d", F.lit(0)).withColumn("_right", F.lit(False))
     if ties == "first":
         touching = (touching.groupBy(*SPAN, "_d", "_right")
                     .agg(F.min(F.struct(*[f"b_{c}" for c in _first_order(b.columns)])).alias("f"))
                     .select(*SPAN, "_d", "_right", "f.*"))
     both = apart.unionByName(touching)
-    return (salted_join(a, both, SPAN, "left", counts=spans)
+    return (a.join(both, SPAN, "left")
             .withColumn("distance", _signed(F.col("_d"), F.col("_right"), signed).cast("bigint"))
             .select(*a.columns, *b_cols, "distance"))
 
@@ -286,13 +291,13 @@ def islands(df: DataFrame, max_gap: int = -1, stranded: bool = True) -> DataFram
     ``-1`` asks for a shared base, ``0`` also joins adjacent intervals.
     """
     keys = [*run_keys(df), "chrom", *(["strand"] if stranded else [])]
-    starts = (df.groupBy(*keys, "start0").agg(F.max("end0").alias("_end"), F.count(F.lit(1)).alias("n"))
+    starts = (df.groupBy(*keys, "start0").agg(F.max("end0").alias("_end"))
               .withColumn("_tile", F.floor(F.col("start0") / F.lit(TILE))))
     reach = tiled_scan(starts, keys, "_tile", ["start0"], {"_reach": ("max", F.col("_end"), "before")})
     opens = F.when(F.col("_reach").isNull() | (F.col("start0") - F.col("_reach") > max_gap), F.col("start0"))
     marked = reach.withColumn("_open", opens)
     return (tiled_scan(marked, keys, "_tile", ["start0"], {"cluster": ("max", F.col("_open"), "upto")})
-            .select(*keys, "start0", "n", "cluster"))
+            .select(*keys, "start0", "cluster"))
 
 
 def cluster(df: DataFrame, max_gap: int = -1, stranded: bool = True, points: bool = False) -> DataFrame:
@@ -306,7 +311,7 @@ def cluster(df: DataFrame, max_gap: int = -1, stranded: bool = True, points: boo
     keys = [*run_keys(df), "chrom", *(["strand"] if stranded else [])]
     found = islands(df, max_gap, stranded)
     on = [*keys, "start0"]
-    return salted_join(df, found.drop("n"), on, counts=found.select(*on, "n")).select(*df.columns, "cluster")
+    return df.join(found, on).select(*df.columns, "cluster")
 
 
 def merge(df: DataFrame, max_gap: int = -1, stranded: bool = True, aggs: dict[str, Column] | None = None,
@@ -379,7 +384,7 @@ def window_mean(windows: DataFrame, signal: DataFrame, track: str = "track") ->
                .groupBy(*SPAN, track)
                .agg(F.sum(F.col("side") * F.col("area")).alias("area"), F.sum(F.col("side") * F.col("cover")).alias("cover"))
                .select(*SPAN, track, F.when(F.col("cover") > 0, F.col("area") / F.col("cover")).alias("value")))
-    return salted_join(windows, profile, SPAN, counts=spans).select(*windows.columns, track, "value")
+    return windows.join(profile, SPAN).select(*windows.columns, track, "value")
 
 
 def sort_intervals(df: DataFrame, partitions: int | None = None) -> DataFrame:

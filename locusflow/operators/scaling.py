@@ -1,4 +1,9 @@
-"""Building blocks that keep plans even under skew: salted joins, tiled running aggregates, checkpoints."""
+"""Building blocks that keep plans even under skew: tiled running aggregates, bounded lists, checkpoints.
+
+Equi-joins are left to the adaptive engine, which broadcasts a side only after measuring it and splits
+hot partitions of either side over several tasks. What it cannot split - windows over a whole
+chromosome or group, lists of a whole group - is cut into bounded pieces here.
+"""
 
 from __future__ import annotations
 
@@ -32,35 +37,9 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def hot_keys(counts: DataFrame, on: list[str], n: str = "n",
              share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """Keys holding more than ``share`` of all rows (fewer than ``1/share`` keys), with their number of splits."""
+    """Keys holding more than ``share`` of all rows; fewer than ``1/share`` keys, whatever the data."""
     limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.coalesce(F.sum(n), F.lit(0)) * F.lit(share)).scalar())
-    return (counts.withColumn("_limit", limit).filter(F.col(n) > F.col("_limit"))
-            .select(*on, F.ceil(F.col(n) / F.col("_limit")).cast("int").alias("_splits")))
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                counts: DataFrame | None = None, share: float = HOT_SHARE,
-                min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """Equi-join whose hot left keys are spread over several tasks.
-
-    ``counts(*on, n)`` gives the left rows per key when the caller already has it. Only hot keys are
-    replicated on the right. The salt depends on the row content and its partition, never on ``rand``,
-    so a recomputed task sends its rows to the same place.
-    """
-    if counts is None:
-        counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    # broadcast is bounded: fewer than 1/share keys can be hot
-    hot = F.broadcast(hot_keys(counts, on, share=share, min_rows=min_rows))
-    spread = (left.join(hot, on, "left")
-              .withColumn("_salt", F.when(
-                  F.col("_splits").isNotNull(),
-                  F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]) + F.spark_partition_id(),
-                         F.col("_splits")).cast("int")).otherwise(F.lit(0)))
-              .drop("_splits"))
-    copies = (right.join(hot, on, "left")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
-              .drop("_splits"))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+    return counts.filter(F.col(n) > limit).select(*on)
 
 
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -111,7 +90,7 @@ def value_tiles(df: DataFrame, keys: list[str], value: str, max_rows: int = HOT_
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(counts, keys, min_rows=max_rows)
     steps = [i / tiles for i in range(1, tiles)]
-    limits = (df.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
+    limits = (df.join(F.broadcast(hot), keys, "left_semi")
               .groupBy(*keys).agg(F.percentile_approx(value, steps, 1000).alias("_limits")))
     limits = F.broadcast(checkpointed(limits))
     return (df.join(limits, keys, "left")
@@ -128,7 +107,8 @@ def value_lists(df: DataFrame, keys: list[str], value: str, part_size: int = 100
     """
     distinct = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_value"))
     sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    rows = salted_join(distinct, sizes.withColumnRenamed("n", "_n"), keys, counts=sizes)
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    rows = distinct.alias("d").join(sizes.alias("s"), same).select("d.*", F.col("s.n").alias("_n"))
     parts = F.ceil(F.col("_n") / F.lit(part_size)).cast("int")
     return (rows.withColumn("parts", parts)
             .withColumn("part", F.pmod(F.xxhash64(F.col(value)), F.col("parts")).cast("int"))
