@@ -16,14 +16,19 @@ from locusflow.schema import run_keys
 OBS = ["chrom", "start0", "end0", "name", "score", "strand", "size", "n_reads"]
 
 
-def aln_to_interval(aln: DataFrame) -> DataFrame:
-    """Alignment -> interval: 0-based start, reference span of the CIGAR, MAPQ as score, strand from the flag."""
+def with_interval(aln: DataFrame) -> DataFrame:
+    """Add the 0-based interval (reference span of the CIGAR) and the strand of each alignment."""
     spans = F.transform(F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1)), lambda x: x.cast("bigint"))
     span = F.aggregate(spans, F.lit(0).cast("bigint"), lambda total, x: total + x)
+    return aln.withColumns({"start0": F.col("pos1") - 1, "end0": F.col("pos1") - 1 + span,
+                            "strand": F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+")})
+
+
+def aln_to_interval(aln: DataFrame) -> DataFrame:
+    """Alignment -> interval named after the read, with MAPQ as score."""
     extra = [c for c in ("n_reads",) if c in aln.columns]
-    return aln.select(*run_keys(aln), "chrom", (F.col("pos1") - 1).alias("start0"), (F.col("pos1") - 1 + span).alias("end0"),
-                      F.col("qname").alias("name"), F.col("mapq").cast("double").alias("score"),
-                      F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), *extra)
+    return with_interval(aln).select(*run_keys(aln), "chrom", "start0", "end0", F.col("qname").alias("name"),
+                                     F.col("mapq").cast("double").alias("score"), "strand", *extra)
 
 
 def with_size(df: DataFrame) -> DataFrame:
