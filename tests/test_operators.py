@@ -350,6 +350,7 @@ def test_pairs_are_located_within_the_fragment_range(spark):
     pairs = {"plus": (g[100:150] + "TTTTT", rc(g[350:400]) + "GGGGG"), "minus": (rc(g[2350:2400]) + "CCCCC", g[2100:2150] + "AAAAA"),
              "far": (g[100:150] + "TTTTT", rc(g[1500:1550]) + "TTTTT"), "same_strand": (g[100:150] + "TTTTT", g[350:400] + "TTTTT")}
     df = spark.createDataFrame([(k, a, b) for k, (a, b) in pairs.items()], "read_id string, r1_seq string, r2_seq string")
+    df = df.withColumns({f"{m}_qual": F.repeat(F.lit("I"), F.length(f"{m}_seq")) for m in ("r1", "r2")})
     table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 512)
     got = sorted((r.qname, r.flag, r.pos1) for r in lc.locate_pairs(df, table, lc.kmer_index(table), chunk=512).collect())
     assert got == [("minus", 83, 2351), ("minus", 163, 2101), ("plus", 99, 101), ("plus", 147, 351)]
