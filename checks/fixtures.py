@@ -88,9 +88,9 @@ _LETTERS_DUCK = _LETTERS.format(letters="regexp_replace(text, '[^A-Za-z]', '', '
 
 # every text is cut into consecutive 60-base pieces; each piece is one read pair
 _PIECES = (f"""
-SELECT doc_id, piece, substring(letters, piece * 60 + 1, 60) AS body
-FROM (SELECT doc_id, letters, explode(sequence(0, CAST((length(letters) - 1) / 60 AS INT))) AS piece
-      FROM (SELECT doc_id, {_LETTERS_SPARK} AS letters FROM documents) l WHERE length(letters) > 0) p""", f"""
+SELECT doc_id, piece, body
+FROM (SELECT doc_id, {_LETTERS_SPARK} AS letters FROM documents) l
+LATERAL VIEW posexplode(regexp_extract_all(letters, '.{{1,60}}', 0)) p AS piece, body""", f"""
 SELECT doc_id, CAST(piece AS INT) AS piece, substring(letters, piece * 60 + 1, 60) AS body
 FROM (SELECT doc_id, letters, unnest(generate_series(0, (length(letters) - 1) // 60)) AS piece
       FROM (SELECT doc_id, {_LETTERS_DUCK} AS letters FROM documents) l WHERE length(letters) > 0) p""")
@@ -135,10 +135,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Spark form of a fixture view over the tables of ``sf_dir``."""
     text = VIEWS[name]
     text = text if isinstance(text, str) else text[0]
-    used = [t for t in _TABLES if f" {t}" in text]
+    used = [t for t in _TABLES if f"FROM {t}" in text]
+    text = text.replace("{", "{{").replace("}", "}}")
     for t in used:
         text = text.replace(f"FROM {t}", "FROM {" + t + "}")
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used if "{" + t + "}" in text})
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    if "documents" in tables:
+        # one small file holds all texts: spread them, as reads from many sequencer files would be
+        tables["documents"] = tables["documents"].select("doc_id", "text").repartition("doc_id")
+    return spark.sql(text, **tables)
 
 
 def duck(body: str, *names: str) -> str:

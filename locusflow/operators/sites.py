@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from locusflow.operators.intervals import cluster
 from locusflow.operators.scaling import value_lists
@@ -76,11 +76,6 @@ def pair_fragment(pairs: DataFrame) -> DataFrame:
                         F.col("qname").alias("name"), F.col("score"), F.col("m1.strand").alias("strand"))
 
 
-def _mode(column: str):
-    """Most frequent value, the smallest one on ties; a cluster has few distinct borders."""
-    return F.mode(column, True)
-
-
 def _cluster_keys(df: DataFrame) -> list[str]:
     return [*run_keys(df), "chrom", "strand", "cluster"]
 
@@ -90,24 +85,51 @@ def clustered(obs: DataFrame, max_gap: int = -1) -> DataFrame:
     return cluster(obs, max_gap, stranded=True, points=True)
 
 
+def _collapse(rows: DataFrame, keys: list[str], sums: dict[str, str], home: list[str] | None = None,
+              exact: bool = True) -> DataFrame:
+    """Per group: modal start and end (smallest on ties), exact median score, and sums.
+
+    ``sums`` maps result columns to columns of ``rows``; ``n`` is the weight of a row. The rows are first
+    summed by distinct (start, end, score), on the map side too; mode and median are then read off these
+    few rows (positions of a cluster times mapping qualities 0..255), laid out by ``home`` so that
+    further collapses of the same sites need no new shuffle. With ``exact`` a cluster is a single position.
+    """
+    compact = rows.groupBy(*keys, *([] if exact else ["start0", "end0"]), "score").agg(
+        F.sum("n").alias("n"), *[F.sum(c).alias(out) for out, c in sums.items()])
+    if home:
+        compact = compact.repartition(*home)
+    group = W.partitionBy(*keys).orderBy("score")
+    # median: mean of the values at ranks (n+1) div 2 and (n+2) div 2
+    ranked = compact.withColumns({
+        "_upto": F.sum("n").over(group.rangeBetween(W.unboundedPreceding, 0)),
+        "_all": F.sum("n").over(group.rangeBetween(W.unboundedPreceding, W.unboundedFollowing))})
+    at = lambda r: F.min(F.when(F.col("_upto") >= F.floor((F.col("_all") + r) / 2), F.col("score")))
+    rest = [((at(1) + at(2)) / 2).alias("score"), *[F.sum(out).alias(out) for out in sums]]
+    if exact:
+        place = [F.col("cluster").alias("start0"), (F.col("cluster") + 1).alias("end0")]
+        out = ranked.groupBy(*keys).agg(*rest)
+        return out.select(*keys, *place, *[c for c in out.columns if c not in keys])
+    ranked = ranked.withColumns({f"_{c}": F.sum("n").over(W.partitionBy(*keys, c)) for c in ("start0", "end0")})
+    mode = lambda c: F.min_by(c, F.struct(-F.col(f"_{c}"), F.col(c))).alias(c)
+    return ranked.groupBy(*keys).agg(mode("start0"), mode("end0"), *rest)
+
+
 def collapse_by_size(obs: DataFrame, count_rows: bool = False, max_gap: int = -1) -> DataFrame:
     """One row per site cluster and fragment size.
 
     ``n_variants`` is the number of observations. With ``count_rows`` (pairs, one row per read pair) the
-    read count is that number as well. Scores are MAPQ values (0..255), so the exact median stays small.
+    read count is that number as well.
     """
-    rows = F.count(F.lit(1))
-    reads = rows if count_rows else F.sum("n_reads")
-    return (clustered(obs, max_gap).groupBy(*_cluster_keys(obs), "size")
-            .agg(_mode("start0").alias("start0"), _mode("end0").alias("end0"), F.median("score").alias("score"),
-                 reads.alias("n_reads"), rows.alias("n_variants")))
+    rows = clustered(obs, max_gap).withColumn("n", F.lit(1).cast("bigint"))
+    keys = _cluster_keys(rows)
+    sums = {"n_reads": "n" if count_rows else "n_reads", "n_variants": "n"}
+    return _collapse(rows, [*keys, "size"], sums, home=keys, exact=max_gap == -1)
 
 
-def collapse_sites(by_size: DataFrame) -> DataFrame:
-    """One row per site cluster: modal position, reads and number of distinct fragment sizes."""
-    return (by_size.groupBy(*_cluster_keys(by_size))
-            .agg(_mode("start0").alias("start0"), _mode("end0").alias("end0"), F.median("score").alias("score"),
-                 F.sum("n_reads").alias("n_reads"), F.count("size").alias("n_sizes")))
+def collapse_sites(by_size: DataFrame, max_gap: int = -1) -> DataFrame:
+    """One row per site cluster: modal position, median score, reads and number of distinct fragment sizes."""
+    rows = by_size.withColumn("n", F.lit(1).cast("bigint"))
+    return _collapse(rows, _cluster_keys(by_size), {"n_reads": "n_reads", "n_sizes": "n"}, exact=max_gap == -1)
 
 
 def union_evidence(*sources: DataFrame) -> DataFrame:
@@ -119,10 +141,8 @@ def union_evidence(*sources: DataFrame) -> DataFrame:
 def qual_is(*sources: DataFrame, max_gap: int = -1) -> DataFrame:
     """Qualitative sites: the collapsed sites of all evidence merged by position."""
     merged = clustered(union_evidence(*[s.drop("cluster") for s in sources]), max_gap)
-    return (merged.groupBy(*_cluster_keys(merged))
-            .agg(_mode("start0").alias("start0"), _mode("end0").alias("end0"), F.median("score").alias("score"),
-                 F.sum("n_reads").alias("n_reads"))
-            .drop("cluster"))
+    rows = merged.withColumn("n", F.lit(1).cast("bigint"))
+    return _collapse(rows, _cluster_keys(rows), {"n_reads": "n_reads"}, exact=max_gap == -1).drop("cluster")
 
 
 def union_quant(r1_obs: DataFrame, pair_by_size: DataFrame) -> DataFrame:
@@ -133,7 +153,7 @@ def union_quant(r1_obs: DataFrame, pair_by_size: DataFrame) -> DataFrame:
 
 def quant_is(r1_obs: DataFrame, pair_by_size: DataFrame, max_gap: int = -1) -> DataFrame:
     """Quantitative sites: re-clustered union, collapsed by size and then by site."""
-    return collapse_sites(collapse_by_size(union_quant(r1_obs, pair_by_size), max_gap=max_gap))
+    return collapse_sites(collapse_by_size(union_quant(r1_obs, pair_by_size), max_gap=max_gap), max_gap)
 
 
 def site_names(obs: DataFrame, max_gap: int = -1, by_size: bool = False, part_size: int = 1000) -> DataFrame:
