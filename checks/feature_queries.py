@@ -85,21 +85,43 @@ def auc_continuous(spark, d):
     return ft.auc(_scores(spark, d), ["track"], max_rows=100).select("track", F.round("auc", 6).alias("auc"))
 
 
-@query("roc_curve", duck(_SCORES + """,
+_ROC = _SCORES + """,
 r AS (SELECT track, min(value) AS lo, max(value) AS hi FROM v GROUP BY track),
-t AS (SELECT track, i, CASE WHEN i = 99 THEN hi ELSE lo + i * ((hi - lo) / 99) END AS threshold FROM r, (SELECT unnest(generate_series(0, 99)) AS i) g)
-SELECT t.track, CAST(i AS BIGINT) AS i, round(threshold, 6) AS threshold,
+t AS (SELECT track, i, CASE WHEN i = 99 THEN hi ELSE lo + i * ((hi - lo) / 99) END AS threshold FROM r, (SELECT unnest(generate_series(0, 99)) AS i) g),
+roc AS (SELECT t.track, CAST(i AS BIGINT) AS i, round(threshold, 6) AS threshold,
        round(1 - count(*) FILTER (cls = 'random' AND value >= threshold) / count(*) FILTER (cls = 'random'), 6) AS specificity,
        round(count(*) FILTER (cls = 'Experimental' AND value >= threshold) / count(*) FILTER (cls = 'Experimental'), 6) AS sensitivity
-FROM t JOIN v USING (track) GROUP BY t.track, i, threshold""", "fx_signal"))
+FROM t JOIN v USING (track) GROUP BY t.track, i, threshold)"""
+
+
+@query("roc_curve", duck(_ROC + " SELECT * FROM roc", "fx_signal"))
 def roc_curve(spark, d):
     curve = ft.roc_curve(_scores(spark, d), ["track"])
     return curve.select("track", "i", *[F.round(c, 6).alias(c) for c in ("threshold", "specificity", "sensitivity")])
 
 
-@query("roc_long", None)
+@query("roc_long", duck(_ROC + """
+SELECT track, i, threshold, 'specificity' AS measure, specificity AS value FROM roc UNION ALL
+SELECT track, i, threshold, 'sensitivity', sensitivity FROM roc""", "fx_signal"))
 def roc_long(spark, d):
-    return ft.roc_long(ft.roc_curve(_scores(spark, d), ["track"]), ["track"])
+    return ft.roc_long(roc_curve(spark, d), ["track"])
+
+
+@query("gc_feature_table", duck("""
+SELECT 'GCcontent' AS feature, chrom, round(1 - sum(value) / 100, 6) AS total FROM fx_signal WHERE track = 'click' GROUP BY chrom
+UNION ALL SELECT 'Other', chrom, round(sum(value) / 100, 6) FROM fx_signal WHERE track <> 'click' GROUP BY chrom""", "fx_signal"))
+def gc_feature_table(spark, d):
+    long = view(spark, d, "fx_signal").select(
+        F.when(F.col("track") == "click", "GCcontent").otherwise("Other").alias("feature"), "chrom", (F.col("value") / 100).alias("value"))
+    return ft.gc_from_at(ft.feature_table(long, ["feature", "chrom"])).withColumn("total", F.round("total", 6))
+
+
+@query("class_by_name", duck("""
+SELECT CASE WHEN contains(track, 'c') THEN 'random' ELSE 'Experimental' END AS cls, count(*) AS n FROM fx_signal GROUP BY 1""", "fx_signal"))
+def class_by_name(spark, d):
+    named = view(spark, d, "fx_signal").withColumn(
+        "name", F.when(F.col("track").contains("c"), F.concat(F.lit("random"), "start0")).otherwise("IS"))
+    return named.groupBy(ft.class_of().alias("cls")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("score_density", duck(_SCORES + """,
@@ -132,9 +154,9 @@ w AS (SELECT DISTINCT chrom, p AS site, {half} AS half, CAST(greatest(p - {half}
 
 
 def _windows(spark, d, half):
-    contigs = view(spark, d, "fx_contigs").filter("length(seq) > 0")
+    contigs = view(spark, d, "fx_contigs")
     sizes = contigs.select("chrom", F.length("seq").cast("bigint").alias("length"))
-    points = contigs.select("chrom", F.explode(F.expr("sequence(0L, CAST(length(seq) AS BIGINT) - 1, 997L)")).alias("start0"))
+    points = contigs.select("chrom", F.explode(F.expr("sequence(0L, greatest(CAST(length(seq) AS BIGINT) - 1, 0L), 997L)")).alias("start0"))
     return iv.slop(points.withColumn("end0", F.col("start0") + 1).withColumn("site", F.col("start0")), half, sizes)
 
 

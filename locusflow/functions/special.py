@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -27,7 +28,9 @@ def digamma(x) -> Column:
 def lgamma(x) -> Column:
     """Logarithm of the gamma function for x > 0."""
     x = _col(x).cast("double")
-    lifted = sum((F.when(x + i < _SHIFT, F.log(x + i)).otherwise(0.0) for i in range(_SHIFT)), F.lit(0.0))
+    # one logarithm of the product of all steps
+    product = reduce(lambda p, i: p * F.when(x + i < _SHIFT, x + i).otherwise(1.0), range(_SHIFT), F.lit(1.0))
+    lifted = F.log(product)
     y = F.when(x < _SHIFT, x + F.ceil(F.lit(float(_SHIFT)) - x)).otherwise(x)
     q = 1 / (y * y)
     series = (1 / 12 - q * (1 / 360 - q * (1 / 1260 - q * (1 / 1680 - q * (1 / 1188))))) / y

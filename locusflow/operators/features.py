@@ -64,6 +64,11 @@ def unpivot_scores(wide: DataFrame, ids: list[str], part: int | None = None) ->
     return long if part is None else long.withColumn("feature", F.get(F.split("feature", r"\."), F.lit(part)))
 
 
+def gc_from_at(long: DataFrame, column: str = "total", feature: str = "GCcontent") -> DataFrame:
+    """Turn AT fractions stored under a GC feature into GC fractions."""
+    return long.withColumn(column, F.when(F.col("feature") == feature, 1 - F.col(column)).otherwise(F.col(column)))
+
+
 def feature_table(long: DataFrame, keys: list[str]) -> DataFrame:
     """Sum of the values of each window, site and feature; missing values count as nothing, all missing as 0."""
     return long.groupBy(*keys).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))

@@ -154,10 +154,10 @@ class FastaChunks(DataSource):
         return "chrom string, chunk_no bigint, chunk_start bigint, seq string"
 
     def reader(self, schema):
-        return _FastaReader(self.options["path"], int(self.options.get("chunk", "4096")))
+        return _FastaReader(self.options["path"], int(self.options.get("chunk", "1024")))
 
 
-def read_fasta_chunks(spark: SparkSession, pattern: str, chunk: int = 4096) -> DataFrame:
+def read_fasta_chunks(spark: SparkSession, pattern: str, chunk: int = 1024) -> DataFrame:
     """Genome sequence in fixed-width chunks; meant to be landed once as Parquet."""
     spark.dataSource.register(FastaChunks)
     return spark.read.format("fasta_chunks").option("chunk", str(chunk)).load(pattern)
