@@ -77,14 +77,14 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, genome: DataFra
     left_over = rd.residual_reads(no_linker=rd.single_reads(without), rescued=rescued, unaligned_pair=rd.single_reads(unplaced),
                                   unmapped=lc.unlocated(unique, r1_aln).withColumnRenamed("qname", "read_id"))
     residual = rd.collapse_reads(rd.min_length(rd.cut_reads(left_over)))
-    residual_obs = residual_branch(lc.locate_reads(residual, genome, index, trim3=5))
+    residual_obs = residual_branch(checkpointed(lc.locate_reads(residual, genome, index, trim3=5)))
 
     collapse = lambda obs: st.collapse_sites(st.collapse_by_size(obs))
     qualitative = st.qual_is(collapse(r1_obs), collapse(residual_obs), st.collapse_sites(pair_by_size))
     quantitative = st.quant_is(r1_obs, pair_by_size)
     single = st.aln_to_interval(al.unique_hit(al.exact_junction(r1_aln)))
     fragments = st.union_fragments(single, st.pair_fragment(confident))
-    stages = fn.stage_counts(R1_raw=tagged, R1_trimmed=trimmed, R1_linker=with_r1, R1_linkerR2=with_r2, R1_collapsed=unique,
+    stages = fn.stage_counts(R1_raw=tagged, R1_trimmed=linked, R1_linker=with_r1, R1_linkerR2=with_r2, R1_collapsed=unique,
                              R1_located=r1_aln, pairs_located=pair_aln, Qual_sites=qualitative)
     return SiteTables(r1_obs, pair_by_size, residual_obs, qualitative, quantitative, fragments, stages)
 
@@ -95,9 +95,9 @@ def annotate_sites(qualitative: DataFrame, tx: DataFrame, sizes: DataFrame) -> D
     return an.classify_position(an.classify_regions(hits), an.exon_hits(an.intragenic(hits), tx))
 
 
-def full_annotation(qualitative: DataFrame, quant_obs: DataFrame, tx: DataFrame, sizes: DataFrame) -> DataFrame:
+def full_annotation(qualitative: DataFrame, quant_obs: DataFrame, tx: DataFrame, sizes: DataFrame, iterations: int = 200) -> DataFrame:
     """Annotated sites with their raw, corrected and estimated abundance."""
-    return an.join_abundance(annotate_sites(qualitative, tx, sizes), fr.site_abundance(quant_obs))
+    return an.join_abundance(annotate_sites(qualitative, tx, sizes), fr.site_abundance(quant_obs, iterations=iterations))
 
 
 def feature_association(sites: DataFrame, sizes: DataFrame, tx: DataFrame, genome: DataFrame, regions: dict[str, DataFrame],
