@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from locusflow.functions.special import digamma, log_choose
+from locusflow.functions.special import digamma, lgamma, log_choose
 from locusflow.schema import run_keys
 
 RARE = 10  # abundance up to which a site counts as rare in the coverage-based richness estimate
@@ -223,8 +223,10 @@ def rarefaction(freq: DataFrame, step: int = 1000) -> DataFrame:
     rows = _with_moments(freq)
     sizes = F.array_distinct(F.concat(F.sequence(F.lit(1).cast("bigint"), F.col("n"), F.lit(step).cast("bigint")), F.array("n")))
     k, n, m = F.col("k"), F.col("n"), F.col("m")
-    missed = F.when(n - k < m, 0.0).otherwise(F.exp(log_choose(n - k, m) - log_choose(n, m)))
-    return (rows.withColumn("m", F.explode(sizes)).groupBy(*run_keys(freq), "m")
+    # ln C(n-k, m) - ln C(n, m); the part without m is computed once per abundance
+    fixed = lgamma(n - k + 1) - lgamma(n + 1)
+    missed = F.when(n - k < m, 0.0).otherwise(F.exp(F.col("_fixed") + lgamma(n - m + 1) - lgamma(n - k - m + 1)))
+    return (rows.withColumn("_fixed", fixed).withColumn("m", F.explode(sizes)).groupBy(*run_keys(freq), "m")
             .agg(F.sum(F.col("f") * (1 - missed)).alias("expected_sites")))
 
 
