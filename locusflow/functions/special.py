@@ -25,16 +25,26 @@ def digamma(x) -> Column:
     return F.log(y) - 0.5 / y - series - lifted
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` applied to ``value`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lgamma(x) -> Column:
-    """Logarithm of the gamma function for x > 0."""
-    x = _col(x).cast("double")
-    # one logarithm of the product of all steps
-    product = reduce(lambda p, i: p * F.when(x + i < _SHIFT, x + i).otherwise(1.0), range(_SHIFT), F.lit(1.0))
-    lifted = F.log(product)
-    y = F.when(x < _SHIFT, x + F.ceil(F.lit(float(_SHIFT)) - x)).otherwise(x)
-    q = 1 / (y * y)
-    series = (1 / 12 - q * (1 / 360 - q * (1 / 1260 - q * (1 / 1680 - q * (1 / 1188))))) / y
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - lifted
+    """Logarithm of the gamma function for x > 0: recurrence up to 10, then the asymptotic series."""
+
+    def series(y):
+        q = 1 / (y * y)
+        tail = (1 / 12 - q * (1 / 360 - q * (1 / 1260 - q * (1 / 1680 - q * (1 / 1188))))) / y
+        return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + tail
+
+    def whole(v):
+        # one logarithm of the product of all steps
+        product = reduce(lambda p, i: p * F.when(v + i < _SHIFT, v + i).otherwise(1.0), range(_SHIFT), F.lit(1.0))
+        y = F.when(v < _SHIFT, v + F.ceil(F.lit(float(_SHIFT)) - v)).otherwise(v)
+        return F.when(v < _SHIFT, _bind(y, series) - F.log(product)).otherwise(series(v))
+
+    return _bind(_col(x).cast("double"), whole)
 
 
 def log_choose(n, k) -> Column:
