@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from locusflow.llm import text_queries, token_queries  # noqa: F401
+from locusflow.llm import duplicate_queries, text_queries, token_queries  # noqa: F401
 from locusflow.llm.registry import REGISTRY  # noqa: F401

@@ -10,31 +10,25 @@ from pyspark.sql import DataFrame, functions as F
 from locusflow.llm import tokens
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_docs: int = 2000,
-                     entries: int = 50_000) -> dict[str, int]:
-    """Token counts of the chunks that are frequent in a sample of ``sample_docs`` texts; at most ``entries`` of them.
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_docs: int = 1000,
+                     longest: int = 20_000, entries: int = 50_000) -> dict[str, int]:
+    """Token counts of the chunks that are frequent in ``sample_docs`` texts of at most ``longest`` characters.
 
-    The sample only decides what workers know from the start, never a count: every text is counted in full.
+    The sample only decides what workers know from the start, never a count: every text is counted in full. Its size
+    and that of the table are bounded by the parameters.
     """
-    texts = docs.select(F.col(text_col).alias("text")).limit(sample_docs)
-
-    def chunks(batches):
-        seen: Counter = Counter()
-        lookup = tokens.worker_lookup(path, "byte", False)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(lookup._cut(text or "")[1:])
-        keep = []
-        for chunk, n in seen.most_common(entries):
-            try:
-                keep.append((chunk, n, lookup.chunks[chunk]))
-            except tokens.Whole:
-                continue
-        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keep], t) for i, t in
-                                          ((0, pa.string()), (1, pa.int64()), (2, pa.int32()))], ["chunk", "n", "length"])
-
-    rows = texts.coalesce(1).mapInArrow(chunks, "chunk string, n bigint, length int").collect()
-    return {r.chunk: r.length for r in rows if r.n > 1 and len(r.chunk) <= 64}
+    lookup, seen = tokens.TwoTier(path, "byte", False), Counter()
+    for row in docs.select(F.col(text_col).alias("text")).filter(F.length("text") <= longest).take(sample_docs):
+        seen.update(lookup._cut(row.text)[1:])
+    table = {}
+    for chunk, n in seen.most_common(entries):
+        if n < 2 or len(chunk) > 64:
+            continue
+        try:
+            table[chunk] = lookup.chunks[chunk]
+        except tokens.Whole:
+            continue
+    return table
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512,
