@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from locusflow.llm import repeats
+from locusflow.llm import neardup, repeats
 from locusflow.llm.registry import documents, query
 
 
+@query("op8_minhash_near_dedup")
+def op8_minhash_near_dedup(spark, sf_dir):
+    """Which class of near copies does each document belong to, and which one stands for it?"""
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("th")
+
+
 @query("op9_repeated_strings")
 def op9_repeated_strings(spark, sf_dir):
     """What is left of each document without byte strings of 400 or more that stand elsewhere too?"""
