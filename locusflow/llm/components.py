@@ -12,10 +12,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not large:
         both = both.filter("b < a")
-    least = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     linked = both.join(least, "a")
     if large:
-        return linked.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        return linked.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     new = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     return new.filter("a != b").distinct()
 
@@ -27,13 +27,13 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     checkpointed; the rounds grow with the logarithm of the longest chain.
     """
     edges = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).filter("a != b").select("a", "b").distinct()
-    edges, before = checkpointed(edges), None
+    before = None
     for _ in range(most_rounds):
-        edges = checkpointed(_star(checkpointed(_star(edges, True)), False))
-        # settled when every node has one edge and no head of an edge is a node with a smaller one
+        edges = checkpointed(_star(_star(edges, True), False))
+        # settled when a round changes no edge
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(heads)
         before = state
     raise RuntimeError("components did not settle")

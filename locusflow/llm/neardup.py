@@ -17,7 +17,8 @@ from locusflow.llm.components import connected_components
 from locusflow.operators.scaling import checkpointed
 
 _U = np.uint64
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 5
+SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
+FEW = 32  # so many members of a bucket may all be compared with its others at once
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -79,7 +80,8 @@ def _bands(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """``id, th`` (hash of the text), ``node`` (digest of shingles and weights), ``n`` shingles and ``bands``.
+    """``id, th`` (hash of the text), ``node`` (digest of shingles and weights), ``n`` shingles, ``bands`` and ``sig`` (a byte of
+    each register).
 
     Texts of fewer than four shingles get no bands: at a similarity of 0.8 they match equal texts only.
     """
@@ -99,16 +101,19 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
                 large = np.flatnonzero(n >= 4)
                 use = np.isin(doc, large)
                 at_large = np.concatenate([[0], np.cumsum(n[large])])
-                keys = _bands(sketch(hashes[use], 1.0 + np.log2(counts[use]), at_large, bands * rows), bands, rows).view(np.int64)
+                drawn = np.zeros((b - a, bands * rows), np.uint32)
+                drawn[large] = sketch(hashes[use], 1.0 + np.log2(counts[use]), at_large, bands * rows)
+                keys = _bands(drawn[large], bands, rows).view(np.int64)
                 lists = np.zeros(b - a, np.int64)
                 lists[large] = bands
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([r.tobytes() for r in two], pa.binary()),
                      pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lists)]), pa.int32()),
-                                                                       pa.array(keys.ravel()))], ["id", "th", "node", "n", "bands"])
+                                                                       pa.array(keys.ravel())),
+                     pa.array([r.tobytes() for r in drawn.astype(np.uint8)], pa.binary())], ["id", "th", "node", "n", "bands", "sig"])
 
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    return keyed.mapInArrow(scan, f"id {kind}, th bigint, node binary, n bigint, bands array<bigint>")
+    return keyed.mapInArrow(scan, f"id {kind}, th bigint, node binary, n bigint, bands array<bigint>, sig binary")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
@@ -162,45 +167,58 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Dat
     return both.mapInArrow(verify, "a binary, b binary")
 
 
+def likely(pairs: DataFrame, sigs: DataFrame, registers: int, least: float) -> DataFrame:
+    """The pairs whose sketches agree in nearly enough registers: at most five standard deviations below ``least``."""
+    floor = least - 5.0 * (least * (1.0 - least) / registers) ** 0.5
+    both = (pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
+            .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
+
+    def agree(batches):
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, registers) for i in (2, 3))
+            keep = pa.array((one == two).mean(axis=1) >= floor, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    return both.mapInArrow(agree, "a binary, b binary")
+
+
 def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def near_links(nodes: DataFrame, members: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """Verified links that connect the nodes of every bucket of ``members`` (``key, node``) as all its pairs would."""
-    sizes = checkpointed(members.groupBy("key").agg(F.count(F.lit(1)).alias("k")))
-    fame = checkpointed(members.join(sizes, "key").groupBy("node").agg(F.sum("k").alias("fame")))
-    known = checkpointed(members.join(fame, "node"))
+def near_links(members: DataFrame, check) -> DataFrame:
+    """Links that connect the nodes of the buckets (``key, node, k``: bucket size) by pairs that pass ``check``.
+
+    A pair needs no check when its nodes are known to be connected. So every bucket is first searched around its most
+    connected member. Then only members outside the bucket's largest component are left to ask: in buckets with up to
+    ``FEW`` of them, all are compared with the whole bucket; in wider ones the most connected of them is, round after
+    round as long as links turn up. So the pairs grow with the members, never with the square of a bucket.
+    """
+    fame = members.groupBy("node").agg(F.sum("k").alias("fame"))
+    known = checkpointed(members.drop("k").join(fame, "node"))
     hubs = checkpointed(known.groupBy("key").agg(F.max(F.struct("fame", "node")).alias("h")).select("key", F.col("h.node").alias("hub")))
-    tried = checkpointed(members.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    links = checkpointed(verified(tried, texts, size, least))
+    tried = checkpointed(known.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    links = checkpointed(check(tried))
     while True:
         component = connected_components(links)
-        placed = checkpointed(known.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 != c1").select("key")
-        rest = checkpointed(placed.join(checkpointed(mixed), "key"))
-        # the component that holds most of the bucket needs no search of its own: all others look for it
-        per = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
-        main = checkpointed(per.groupBy("key").agg(F.max(F.struct("k", "component")).alias("m")).select("key", F.col("m.component").alias("main")))
-        outside = rest.join(main, "key").filter("component != main").drop("main")
-        untried = lambda hub, other: (other.join(hub, "key").filter("component != c").select(*_ordered("node", "o")).distinct()
-                                      .join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))
-        # one more star a round: the most connected member that has met fewest others
-        one = checkpointed(outside.groupBy("key").agg(F.max(F.struct("fame", "node", "component")).alias("h"), F.count(F.lit(1)).alias("k"))
-                           .select("key", F.col("h.node").alias("o"), F.col("h.component").alias("c"), "k"))
-        wide = one.filter("k > 32")
-        small = outside.join(one.filter("k <= 32").select("key"), "key").select("key", F.col("node").alias("o"), F.col("component").alias("c"))
-        pairs = checkpointed(untried(wide.drop("k").unionByName(small), rest))
-        if pairs.isEmpty():
-            wide_pairs = checkpointed(untried(outside.select("key", F.col("node").alias("o"), F.col("component").alias("c")), rest))
-            if wide_pairs.isEmpty():
-                return links
-            pairs = wide_pairs
-        tried = checkpointed(tried.unionByName(pairs))
-        more = checkpointed(verified(pairs, texts, size, least))
-        if more.isEmpty() and wide.isEmpty():
+        placed = known.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        per = checkpointed(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("fame", "node")).alias("h")))
+        mixed = checkpointed(per.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("k", "component")).alias("m"),
+                                                    F.sum("k").alias("k")).filter("n > 1")
+                             .select("key", F.col("m.component").alias("main"), (F.col("k") - F.col("m.k")).alias("outside")))
+        rest = checkpointed(placed.join(mixed, "key"))
+        known = rest.select("key", "node", "fame")  # the other buckets have nothing left to find
+        few = rest.filter((F.col("component") != F.col("main")) & (F.col("outside") <= FEW))
+        one = (per.join(mixed, "key").filter((F.col("component") != F.col("main")) & (F.col("outside") > FEW)).groupBy("key")
+               .agg(F.max(F.struct(F.col("h.fame").alias("fame"), F.col("h.node").alias("o"), F.col("component").alias("c"))).alias("h"))
+               .select("key", "h.o", "h.c"))
+        asking = few.select("key", F.col("node").alias("o"), F.col("component").alias("c")).unionByName(one)
+        pairs = checkpointed(rest.join(asking, "key").filter("component != c").select(*_ordered("node", "o")).distinct()
+                             .join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))
+        new = checkpointed(check(pairs))
+        if new.isEmpty():
             return links
-        links = checkpointed(links.unionByName(more))
+        tried, links = checkpointed(tried.unionByName(pairs)), checkpointed(links.unionByName(new))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY,
@@ -214,16 +232,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``kept`` and never name a class that has another; an empty table gives no rows.
     """
     drawn = checkpointed(sketches(docs, id_col, text_col, size, bands, rows))
-    nodes = checkpointed(drawn.groupBy("node").agg(F.min(F.struct("id", "th")).alias("r"), F.min("id").alias("least"), F.first("bands").alias("bands")))
+    nodes = checkpointed(drawn.groupBy("node").agg(F.min(F.struct("id", "th")).alias("r"), F.min("id").alias("least"), F.first("bands").alias("bands"),
+                                             F.first("sig").alias("sig")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = checkpointed(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key"))
+    shared = checkpointed(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
     members = checkpointed(banded.join(shared, "key"))
     asked = members.select("node").distinct().join(nodes.select("node", "r.*"), "node")
     texts = checkpointed(_texts(docs, id_col, text_col, asked))
-    component = connected_components(near_links(nodes, members, texts, size, least))
+    sigs = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig"), "node"))
+    component = connected_components(near_links(members, lambda pairs: verified(
+        checkpointed(likely(pairs, sigs, bands * rows, least)), texts, size, least)))
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("r").alias("first"))
     by_node = checkpointed(placed.select("node", "component").join(heads, "component").select("node", "class_id", "first"))
     kept = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.th") == F.col("th"))
-    return (drawn.drop("bands").join(by_node, "node")
+    return (drawn.drop("bands", "sig").join(by_node, "node")
             .select(F.col("id").alias(id_col), "th", "class_id", kept.alias("kept"), F.col("n").alias("n_shingles")))
