@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from locusflow.llm import neardup, repeats
-from locusflow.llm.registry import documents, query
+from locusflow.llm import decontaminate, embeddings, neardup, repeats
+from locusflow.llm.registry import documents, query, table
+
+
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark, sf_dir):
+    """Which documents hold which benchmark items, with at least 0.8 of the words in place?"""
+    found = decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.drop("th").withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
 @query("op8_minhash_near_dedup")
@@ -16,3 +23,9 @@ def op8_minhash_near_dedup(spark, sf_dir):
 def op9_repeated_strings(spark, sf_dir):
     """What is left of each document without byte strings of 400 or more that stand elsewhere too?"""
     return repeats.remove_repeats(documents(spark, sf_dir))
+
+
+@query("op10_embedding_near_dedup")
+def op10_embedding_near_dedup(spark, sf_dir):
+    """Which embeddings of a label are near copies of each other?"""
+    return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"))
