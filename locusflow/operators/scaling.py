@@ -17,21 +17,22 @@ HOT_SHARE = 1 / 1000
 HOT_MIN_ROWS = 1_000_000
 
 
-def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage through the reliable checkpoint folder of the session.
-
-    The folder is the one named by ``spark.checkpoint.dir``; only a local-mode session that names none
-    gets a temporary one.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark) -> str:
+    """The folder named by ``spark.checkpoint.dir``; only a local-mode session that names none gets a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="locusflow-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Cut the lineage through the reliable checkpoint folder of the session."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 
