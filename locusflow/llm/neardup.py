@@ -248,3 +248,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.th") == F.col("th"))
     return (drawn.drop("bands", "sig").join(by_node, "node")
             .select(F.col("id").alias(id_col), "th", "class_id", kept.alias("kept"), F.col("n").alias("n_shingles")))
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of every class of near duplicates, the first by id and text hash; all columns stay.
+
+    Rows repeated with id and text count once, whatever their other columns hold.
+    """
+    classes = near_duplicates(docs, id_col, text_col, **options)
+    kept = classes.filter("kept").select(F.col(id_col).alias("_id"), F.col("th").alias("_th")).distinct()
+    rows = docs.withColumn("_h", F.xxhash64(text_col)).dropDuplicates([id_col, "_h"])
+    same = F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_th") == F.col("_h"))
+    return rows.join(checkpointed(kept), same, "left_semi").select(*docs.columns)

@@ -163,3 +163,8 @@ def score_documents(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id"
 
     scored = rows.mapInArrow(score, schema)
     return scored.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "score", "predicted")
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows the classifier rejects; all columns stay."""
+    return score_documents(docs, weights, id_col, text_col, keep=docs.columns).filter("predicted = 1").select(*docs.columns)

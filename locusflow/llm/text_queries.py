@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusflow.llm import licences, quality, secrets
+from locusflow.llm import licences, personal, quality, secrets
 from locusflow.llm.registry import documents, query, table
 
 
@@ -27,3 +27,9 @@ def op5_quality_classifier(spark, sf_dir):
     weights = quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = quality.score_documents(docs, weights)
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark, sf_dir):
+    """Which spans of each document look like personal data?"""
+    return personal.scan_personal(documents(spark, sf_dir))
