@@ -18,7 +18,7 @@ from locusflow.operators.scaling import checkpointed
 
 _U = np.uint64
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
-FEW = 32  # so many members of a bucket may all be compared with its others at once
+FEW = 8  # so many members of a bucket may all be compared with its others at once
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -186,8 +186,8 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def near_links(members: DataFrame, check) -> DataFrame:
-    """Links that connect the nodes of the buckets (``key, node, k``: bucket size) by pairs that pass ``check``.
+def near_links(members: DataFrame, check) -> tuple[DataFrame, DataFrame]:
+    """Links of the nodes of the buckets (``key, node, k``: bucket size) by pairs that pass ``check``, and their components.
 
     A pair needs no check when its nodes are known to be connected. So every bucket is first searched around its most
     connected member. Then only members outside the bucket's largest component are left to ask: in buckets with up to
@@ -217,7 +217,7 @@ def near_links(members: DataFrame, check) -> DataFrame:
                              .join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))
         new = checkpointed(check(pairs))
         if new.isEmpty():
-            return links
+            return links, component
         tried, links = checkpointed(tried.unionByName(pairs)), checkpointed(links.unionByName(new))
 
 
@@ -237,11 +237,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = checkpointed(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
     members = checkpointed(banded.join(shared, "key"))
-    asked = members.select("node").distinct().join(nodes.select("node", "r.*"), "node")
-    texts = checkpointed(_texts(docs, id_col, text_col, asked))
-    sigs = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig"), "node"))
-    component = connected_components(near_links(members, lambda pairs: verified(
-        checkpointed(likely(pairs, sigs, bands * rows, least)), texts, size, least)))
+    asked = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig", "r.*"), "node"))
+    texts = checkpointed(_texts(docs, id_col, text_col, asked.drop("sig")))
+    _, component = near_links(members, lambda pairs: verified(
+        checkpointed(likely(pairs, asked, bands * rows, least)), texts, size, least))
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("r").alias("first"))
     by_node = checkpointed(placed.select("node", "component").join(heads, "component").select("node", "class_id", "first"))
