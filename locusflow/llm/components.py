@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from locusflow.operators.scaling import checkpointed
 
 
+def settled(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """A checkpoint in as many partitions as its rows need, so that small tables don't spread over many tiny files."""
+    done = checkpointed(df)
+    return done.coalesce(1 + done.count() // rows)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Links every neighbour of a node that is larger (large star) or not larger (small star) to the least one around."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,10 +32,10 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Loops are left out, and so are edges with a null end; nodes without any edge are not returned. Every round is
     checkpointed; the rounds grow with the logarithm of the longest chain.
     """
-    edges = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).filter("a != b").select("a", "b").distinct()
-    before = None
+    edges = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).filter("a != b").select("a", "b")
+    edges, before = settled(edges), None
     for _ in range(most_rounds):
-        edges = checkpointed(_star(_star(edges, True), False))
+        edges = settled(_star(settled(_star(edges, True)), False))
         # settled when a round changes no edge
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if state == before:

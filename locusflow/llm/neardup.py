@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from locusflow.llm import words
-from locusflow.llm.components import connected_components
+from locusflow.llm.components import connected_components, settled
 from locusflow.operators.scaling import checkpointed
 
 _U = np.uint64
@@ -195,30 +195,30 @@ def near_links(members: DataFrame, check) -> tuple[DataFrame, DataFrame]:
     round as long as links turn up. So the pairs grow with the members, never with the square of a bucket.
     """
     fame = members.groupBy("node").agg(F.sum("k").alias("fame"))
-    known = checkpointed(members.drop("k").join(fame, "node"))
-    hubs = checkpointed(known.groupBy("key").agg(F.max(F.struct("fame", "node")).alias("h")).select("key", F.col("h.node").alias("hub")))
-    tried = checkpointed(known.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    links = checkpointed(check(tried))
+    known = settled(members.drop("k").join(fame, "node"))
+    hubs = settled(known.groupBy("key").agg(F.max(F.struct("fame", "node")).alias("h")).select("key", F.col("h.node").alias("hub")))
+    tried = settled(known.join(hubs, "key").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    links = settled(check(tried))
     while True:
         component = connected_components(links)
         placed = known.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        per = checkpointed(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("fame", "node")).alias("h")))
-        mixed = checkpointed(per.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("k", "component")).alias("m"),
+        per = settled(placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("fame", "node")).alias("h")))
+        mixed = settled(per.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("k", "component")).alias("m"),
                                                     F.sum("k").alias("k")).filter("n > 1")
                              .select("key", F.col("m.component").alias("main"), (F.col("k") - F.col("m.k")).alias("outside")))
-        rest = checkpointed(placed.join(mixed, "key"))
+        rest = settled(placed.join(mixed, "key"))
         known = rest.select("key", "node", "fame")  # the other buckets have nothing left to find
         few = rest.filter((F.col("component") != F.col("main")) & (F.col("outside") <= FEW))
         one = (per.join(mixed, "key").filter((F.col("component") != F.col("main")) & (F.col("outside") > FEW)).groupBy("key")
                .agg(F.max(F.struct(F.col("h.fame").alias("fame"), F.col("h.node").alias("o"), F.col("component").alias("c"))).alias("h"))
                .select("key", "h.o", "h.c"))
         asking = few.select("key", F.col("node").alias("o"), F.col("component").alias("c")).unionByName(one)
-        pairs = checkpointed(rest.join(asking, "key").filter("component != c").select(*_ordered("node", "o")).distinct()
+        pairs = settled(rest.join(asking, "key").filter("component != c").select(*_ordered("node", "o")).distinct()
                              .join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))
-        new = checkpointed(check(pairs))
+        new = settled(check(pairs))
         if new.isEmpty():
             return links, component
-        tried, links = checkpointed(tried.unionByName(pairs)), checkpointed(links.unionByName(new))
+        tried, links = settled(tried.unionByName(pairs)), settled(links.unionByName(new))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY,
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig", "r.*"), "node"))
     texts = checkpointed(_texts(docs, id_col, text_col, asked.drop("sig")))
     _, component = near_links(members, lambda pairs: verified(
-        checkpointed(likely(pairs, asked, bands * rows, least)), texts, size, least))
+        settled(likely(pairs, asked, bands * rows, least)), texts, size, least))
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("r").alias("first"))
     by_node = checkpointed(placed.select("node", "component").join(heads, "component").select("node", "class_id", "first"))
