@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import math
 import posixpath
 import re
 
@@ -175,15 +176,19 @@ class _WigReader(DataSourceReader):
         fixed, chrom, at, step, span = True, None, 0, 1, 1
         with open_text(partition.path) as lines:
             for line in lines:
-                first = line[:1]
-                if first.isdigit() or first in "+-.":
+                line = line.strip()
+                if not line or line.startswith(("#", "track", "browser")):
+                    continue
+                if not line.startswith(("fixedStep", "variableStep")):  # a value that isn't finite is a gap
                     if fixed:
-                        yield track, chrom, at, at + span, float(line)
+                        place, value = at, float(line)
                         at += step
                     else:
-                        place, value = line.split()
-                        yield track, chrom, int(place) - 1, int(place) - 1 + span, float(value)
-                elif line.startswith(("fixedStep", "variableStep")):
+                        word, number = line.split()
+                        place, value = int(word) - 1, float(number)
+                    if math.isfinite(value):
+                        yield track, chrom, place, place + span, value
+                else:
                     given = dict(part.split("=", 1) for part in line.split()[1:])
                     fixed, chrom = line.startswith("fixedStep"), given["chrom"]
                     at, step, span = int(given.get("start", 1)) - 1, int(given.get("step", 1)), int(given.get("span", 1))

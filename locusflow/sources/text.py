@@ -15,7 +15,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).filter(~F.col("value").startswith("@")).select(parts.alias("p"))
 
     def tag(name: str) -> Column:
-        return F.get(F.filter(F.slice("p", 12, 1000), lambda x: x.startswith(name + ":")), F.lit(0))
+        return F.get(F.filter(F.slice("p", F.lit(12), F.greatest(F.size("p") - 11, F.lit(0))), lambda x: x.startswith(name + ":")), F.lit(0))
 
     def number(name: str) -> Column:
         return F.regexp_extract(tag(name), r"^..:i:(-?\d+)$", 1).try_cast("int")

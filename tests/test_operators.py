@@ -354,3 +354,13 @@ def test_pairs_are_located_within_the_fragment_range(spark):
     table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 512)
     got = sorted((r.qname, r.flag, r.pos1) for r in lc.locate_pairs(df, table, lc.kmer_index(table), chunk=512).collect())
     assert got == [("minus", 83, 2351), ("minus", 163, 2101), ("plus", 99, 101), ("plus", 147, 351)]
+
+
+def test_intron_of_an_unnamed_gene_is_intronic(spark):
+    from locusflow.operators import annotate
+
+    site = "chrom string, start0 bigint, end0 bigint, score double, strand string, n_reads bigint"
+    regions = spark.createDataFrame([("c", 5, 6, 1.0, "+", 3, "Intragenic", None)], site + ", region string, gene_symbol string")
+    exons = spark.createDataFrame([("c", 5, 6, 1.0, "+", 3, None, None)], site + ", b_name string, b_gene_symbol string")
+    row = annotate.classify_position(regions, exons).first()
+    assert (row.n_exons, row.position) == (0, "Intronic")

@@ -112,3 +112,19 @@ def test_sinks_round_trip(spark, tmp_path):
     assert text.read_manifest(spark, f"{tmp_path}/info").count() == 2
     sinks.save_run({"reads": reads.withColumnRenamed("read_id", "id")}, f"{tmp_path}/run")
     assert sinks.load_run(spark, f"{tmp_path}/run", "reads")["reads"].count() == 2
+
+
+def test_wiggle_gaps_keep_their_place(spark, tmp_path):
+    from locusflow.sources import fastq
+
+    (tmp_path / "t.wig").write_text("track type=wiggle_0\nfixedStep chrom=c start=1 step=1\n1\nNaN\n3\ninf\n5\n")
+    rows = sorted((r.start0, r.value) for r in fastq.read_wig(spark, str(tmp_path / "t.wig")).collect())
+    assert rows == [(0, 1.0), (2, 3.0), (4, 5.0)]
+
+
+def test_sam_tag_behind_many_others(spark, tmp_path):
+    from locusflow.sources import text
+
+    fields = ["r", "0", "c", "1", "42", "4M", "*", "0", "0", "ACGT", "IIII", *[f"X{i:04d}:Z:x" for i in range(1200)], "AS:i:-6"]
+    (tmp_path / "a.sam").write_text("\t".join(fields) + "\n")
+    assert text.read_sam(spark, str(tmp_path / "a.sam")).first().as_score == -6
