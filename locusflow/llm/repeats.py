@@ -23,7 +23,7 @@ from locusflow.operators.scaling import checkpointed
 GRAM = 128
 _U = np.uint64
 _PLACE = 24  # bits of a sort key that hold the place inside a segment
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 HOT_CONTEXTS = 4096  # buckets with more differing contexts are split by window
 
 
@@ -246,7 +246,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # an anchor hash seen once has no copy; if all its contexts are equal nothing needs comparing
     grams = (every.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"))
              .filter("n > 1").select("gram", (F.col("c0") == F.col("c1")).alias("alike")))
-    shared = checkpointed(every.join(grams, "gram"))
+    shared = checkpointed(every.join(checkpointed(grams), "gram"))  # both sides as shuffles of their own: hot hashes can be split
     contexts = (shared.groupBy("gram", "ctx", "alike").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "lo", "am")).alias("r"))
                 .select("gram", "ctx", "alike", "n", "r.*"))
     contexts = checkpointed(contexts)
@@ -260,7 +260,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = F.array(F.struct(F.lit(0).alias("s"), windows.cast("int").alias("e")))
     first = (F.col("r.id").eqNullSafe(F.col("id"))) & (F.col("r.th") == F.col("th")) & (F.col("r.lo") == F.col("lo"))
     kept = contexts.select("gram", "ctx", "n", F.struct("id", "th", "lo").alias("r")).join(runs, ["gram", "ctx"], "left")
-    found = shared.join(kept, ["gram", "ctx"])
+    found = shared.join(checkpointed(kept), ["gram", "ctx"])
     empty = F.array().cast(_RUNS)
     if keep_first:
         marks = F.when(first, F.coalesce("earlier", empty)).otherwise(whole)
