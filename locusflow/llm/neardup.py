@@ -2,12 +2,16 @@
 
 Texts with equal shingles and weights form one node. A bucket (nodes with an equal band) is searched by stars: all its
 members are compared with its most connected member; only buckets whose members then still lie in several
-components are looked at again, with the members outside the first component.
+components are looked at again, with the members outside the first component. What is then still apart in wide buckets
+is compared sketch by sketch, in blocks of bounded size, so that no link is lost.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +23,7 @@ from locusflow.operators.scaling import checkpointed
 _U = np.uint64
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
 FEW = 8  # so many members of a bucket may all be compared with its others at once
+BLOCK = 512  # members of a wide bucket that meet as many others in one task
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -167,9 +172,13 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Dat
     return both.mapInArrow(verify, "a binary, b binary")
 
 
+def _floor(registers: int, least: float) -> float:
+    return least - 5.0 * (least * (1.0 - least) / registers) ** 0.5
+
+
 def likely(pairs: DataFrame, sigs: DataFrame, registers: int, least: float) -> DataFrame:
     """The pairs whose sketches agree in nearly enough registers: at most five standard deviations below ``least``."""
-    floor = least - 5.0 * (least * (1.0 - least) / registers) ** 0.5
+    floor = _floor(registers, least)
     both = (pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
@@ -186,13 +195,46 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def near_links(members: DataFrame, check) -> tuple[DataFrame, DataFrame]:
+def wide_pairs(wide: DataFrame, sigs: DataFrame, registers: int, least: float) -> DataFrame:
+    """Pairs ``a, b`` of a bucket's members (``key, node, component``) in different components whose sketches pass ``likely``.
+
+    Sets of similarity ``least`` differ in size by at most that factor, so a member meets its own class of sizes and the
+    next. The members that meet are cut into blocks by hash; every two blocks are one group of about ``2 * BLOCK`` rows,
+    and only pairs that pass leave it.
+    """
+    floor, step = _floor(registers, least), 1e-9 - math.log(least)
+    level = F.floor(F.log("n") / step)
+    rows = settled(wide.join(sigs.select("node", "n"), "node").select("key", "node", "component", level.alias("level"))
+                   .withColumn("g", F.explode(F.array("level", F.col("level") - 1))))
+    sizes = (rows.groupBy("key", "g").agg(F.count(F.lit(1)).alias("met"), F.sum((F.col("level") == F.col("g")).cast("int")).alias("own"))
+             .filter("own > 0 and met > 1").select("key", "g", F.ceil(F.col("met") / BLOCK).cast("int").alias("blocks")))
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    tiles = (rows.join(sizes, ["key", "g"]).withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", "g", "node", "component", "level", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+             .join(sigs.select("node", "sig"), "node"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(-1, registers)
+        component = np.unique(part["component"].to_numpy(), return_inverse=True)[1]
+        node, found = part["node"].to_numpy(), []
+        for x in np.flatnonzero((part["level"] == part["g"]).to_numpy()):
+            y = np.flatnonzero(component != component[x])
+            found += [(min(node[x], node[k]), max(node[x], node[k])) for k in y[(sig[y] == sig[x]).mean(axis=1) >= floor]]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return tiles.groupBy("key", "g", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+
+
+def near_links(members: DataFrame, check, meet, confirm) -> tuple[DataFrame, DataFrame]:
     """Links of the nodes of the buckets (``key, node, k``: bucket size) by pairs that pass ``check``, and their components.
 
     A pair needs no check when its nodes are known to be connected. So every bucket is first searched around its most
     connected member. Then only members outside the bucket's largest component are left to ask: in buckets with up to
     ``FEW`` of them, all are compared with the whole bucket; in wider ones the most connected of them is, round after
-    round as long as links turn up. So the pairs grow with the members, never with the square of a bucket.
+    round as long as links turn up. What wide buckets then still hold in different components goes through ``meet``,
+    which finds all candidates among them, and ``confirm``. So the pairs made grow with the members and with likely
+    links, never with the square of a bucket.
     """
     fame = members.groupBy("node").agg(F.sum("k").alias("fame"))
     known = settled(members.drop("k").join(fame, "node"))
@@ -216,9 +258,18 @@ def near_links(members: DataFrame, check) -> tuple[DataFrame, DataFrame]:
         pairs = settled(rest.join(asking, "key").filter("component != c").select(*_ordered("node", "o")).distinct()
                              .join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))
         new = settled(check(pairs))
+        tried = settled(tried.unionByName(pairs))
         if new.isEmpty():
-            return links, component
-        tried, links = settled(tried.unionByName(pairs)), settled(links.unionByName(new))
+            break
+        links = settled(links.unionByName(new))
+    wide = rest.filter(F.col("outside") > FEW).select("key", "node", "component")
+    if wide.isEmpty():
+        return links, component
+    new = settled(confirm(settled(meet(wide).join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))))
+    if new.isEmpty():
+        return links, component
+    links = settled(links.unionByName(new))
+    return links, connected_components(links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY,
@@ -233,14 +284,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     drawn = checkpointed(sketches(docs, id_col, text_col, size, bands, rows))
     nodes = checkpointed(drawn.groupBy("node").agg(F.min(F.struct("id", "th")).alias("r"), F.min("id").alias("least"), F.first("bands").alias("bands"),
-                                             F.first("sig").alias("sig")))
+                                             F.first("sig").alias("sig"), F.first("n").alias("n")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = checkpointed(banded.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"))
     members = checkpointed(banded.join(shared, "key"))
-    asked = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig", "r.*"), "node"))
-    texts = checkpointed(_texts(docs, id_col, text_col, asked.drop("sig")))
-    _, component = near_links(members, lambda pairs: verified(
-        settled(likely(pairs, asked, bands * rows, least)), texts, size, least))
+    asked = checkpointed(members.select("node").distinct().join(nodes.select("node", "sig", "n", "r.*"), "node"))
+    texts = checkpointed(_texts(docs, id_col, text_col, asked.drop("sig", "n")))
+    _, component = near_links(
+        members, lambda pairs: verified(settled(likely(pairs, asked, bands * rows, least)), texts, size, least),
+        lambda wide: wide_pairs(wide, asked, bands * rows, least), lambda pairs: verified(pairs, texts, size, least))
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("r").alias("first"))
     by_node = checkpointed(placed.select("node", "component").join(heads, "component").select("node", "class_id", "first"))

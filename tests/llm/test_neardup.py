@@ -115,3 +115,22 @@ def test_null_and_repeated_ids(spark, tmp_path):
                  neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
     assert got == [(0, 0, True), (1, 1, True), (96, 1, False), (96, 1, False), (97, 1, True)]
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_wide_bucket_loses_no_link_off_its_stars(spark):
+    """Forty unlike members of one bucket, three of which are alike but never the most connected one."""
+    rng, registers = np.random.default_rng(5), 320
+    sigs = rng.integers(0, 256, (1300, registers), dtype=np.uint8)
+    for x in (7, 9):
+        sigs[x] = sigs[5]
+    sigs[1200] = sigs[1100]
+    rows = [(i.to_bytes(4, "big"), 100 + 30 * (i in (9, 1200)) + 60 * (i % 3 == 0 and i not in (9, 1200)), s.tobytes()) for i, s in enumerate(sigs)]
+    table = spark.createDataFrame(rows, "node binary, n long, sig binary")
+    members = spark.createDataFrame([(1, n, 40) for n, *_ in rows[:40]] + [(2, n, 1260) for n, *_ in rows[40:]] + [(3, rows[0][0], 9)],
+                                    "key long, node binary, k long")
+    links, component = neardup.near_links(members, lambda pairs: neardup.likely(pairs, table, registers, 0.8),
+                                          lambda wide: neardup.wide_pairs(wide, table, registers, 0.8), lambda pairs: pairs)
+    found = {tuple(int.from_bytes(x, "big") for x in r) for r in links.select("a", "b").collect()}
+    assert found == {(5, 7), (5, 9), (7, 9), (1100, 1200)}
+    heads = {int.from_bytes(r[0], "big"): int.from_bytes(r[1], "big") for r in component.collect()}
+    assert heads == {5: 5, 7: 5, 9: 5, 1100: 1100, 1200: 1100}
