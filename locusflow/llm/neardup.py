@@ -3,7 +3,7 @@
 Texts with equal shingles and weights form one node. A bucket (nodes with an equal band) is searched by stars: all its
 members are compared with its most connected member; only buckets whose members then still lie in several
 components are looked at again, with the members outside the first component. What is then still apart in wide buckets
-is compared sketch by sketch, in blocks of bounded size, so that no link is lost.
+is compared all with all inside blocks of bounded size, of which only links leave, so that none is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from locusflow.operators.scaling import checkpointed
 _U = np.uint64
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
 FEW = 8  # so many members of a bucket may all be compared with its others at once
-BLOCK = 512  # members of a wide bucket that meet as many others in one task
+BLOCK, BLOCK_SHINGLES = 512, 1 << 21  # members of a wide bucket, and their shingles, that meet as many others in one task
 _GOLD = 0x9E3779B97F4A7C15
 
 
@@ -147,6 +147,13 @@ def _unpacked_shingles(packed: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
+def _alike(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    common = 0
+    if min(len(x), len(y)) >= least * max(len(x), len(y)):
+        common = len(np.intersect1d(x, y, assume_unique=True))
+    return common >= least * (len(x) + len(y) - common) - 1e-9
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs of nodes whose shingle sets have a Jaccard similarity of at least ``least``."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("pa")), "a")
@@ -162,11 +169,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Dat
                 other = dict(zip(distinct, _unpacked_shingles(distinct, size), strict=True))
                 keep = []
                 for x, hub in zip(one, hubs, strict=True):
-                    y = other[hub]
-                    common = 0
-                    if min(len(x), len(y)) >= least * max(len(x), len(y)):
-                        common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(common >= least * (len(x) + len(y) - common) - 1e-9)
+                    keep.append(_alike(x, other[hub], least))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(verify, "a binary, b binary")
@@ -195,46 +198,63 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def wide_pairs(wide: DataFrame, sigs: DataFrame, registers: int, least: float) -> DataFrame:
-    """Pairs ``a, b`` of a bucket's members (``key, node, component``) in different components whose sketches pass ``likely``.
+def wide_links(wide: DataFrame, sigs: DataFrame, texts: DataFrame, registers: int, size: int, least: float) -> DataFrame:
+    """Links ``a, b`` that connect the members (``key, node, component``) of a bucket that lie in different components.
 
     Sets of similarity ``least`` differ in size by at most that factor, so a member meets its own class of sizes and the
-    next. The members that meet are cut into blocks by hash; every two blocks are one group of about ``2 * BLOCK`` rows,
-    and only pairs that pass leave it.
+    next. The members that meet are cut into blocks by hash; every two blocks are one group of about ``2 * BLOCK`` rows.
+    There the pairs with like sketches are checked by their shingles, unless links found before connect them already; so
+    a group returns fewer links than it has rows.
     """
     floor, step = _floor(registers, least), 1e-9 - math.log(least)
     level = F.floor(F.log("n") / step)
-    rows = settled(wide.join(sigs.select("node", "n"), "node").select("key", "node", "component", level.alias("level"))
+    rows = settled(wide.join(sigs.select("node", "n"), "node").select("key", "node", "component", "n", level.alias("level"))
                    .withColumn("g", F.explode(F.array("level", F.col("level") - 1))))
-    sizes = (rows.groupBy("key", "g").agg(F.count(F.lit(1)).alias("met"), F.sum((F.col("level") == F.col("g")).cast("int")).alias("own"))
-             .filter("own > 0 and met > 1").select("key", "g", F.ceil(F.col("met") / BLOCK).cast("int").alias("blocks")))
-    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    tiles = (rows.join(sizes, ["key", "g"]).withColumn("block", block)
+    blocks = F.greatest(F.ceil(F.col("met") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = (rows.groupBy("key", "g").agg(F.count(F.lit(1)).alias("met"), F.sum("n").alias("shingles"),
+                                          F.sum((F.col("level") == F.col("g")).cast("int")).alias("own"))
+             .filter("own > 0 and met > 1").select("key", "g", blocks.alias("blocks")))
+    tiles = (rows.join(sizes, ["key", "g"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", "g", "node", "component", "level", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-             .join(sigs.select("node", "sig"), "node"))
+             .join(sigs.select("node", "sig"), "node").join(texts, "node"))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(-1, registers)
-        component = np.unique(part["component"].to_numpy(), return_inverse=True)[1]
-        node, found = part["node"].to_numpy(), []
+        names, component = np.unique(part["component"].to_numpy(), return_inverse=True)
+        like = []
         for x in np.flatnonzero((part["level"] == part["g"]).to_numpy()):
             y = np.flatnonzero(component != component[x])
-            found += [(min(node[x], node[k]), max(node[x], node[k])) for k in y[(sig[y] == sig[x]).mean(axis=1) >= floor]]
+            like += [(x, k) for k in y[(sig[y] == sig[x]).mean(axis=1) >= floor]]
+        used = sorted({x for pair in like for x in pair})
+        sets = dict(zip(used, _unpacked_shingles(part["packed"].iloc[used].tolist(), size), strict=True))
+        up, node, found = list(range(len(names))), part["node"].to_numpy(), []
+
+        def head(c):
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        for x, y in like:
+            one, two = head(component[x]), head(component[y])
+            if one != two and _alike(sets[x], sets[y], least):
+                up[max(one, two)] = min(one, two)
+                found.append((min(node[x], node[y]), max(node[x], node[y])))
         return pd.DataFrame(found, columns=["a", "b"])
 
     return tiles.groupBy("key", "g", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
 
 
-def near_links(members: DataFrame, check, meet, confirm) -> tuple[DataFrame, DataFrame]:
+def near_links(members: DataFrame, check, meet) -> tuple[DataFrame, DataFrame]:
     """Links of the nodes of the buckets (``key, node, k``: bucket size) by pairs that pass ``check``, and their components.
 
     A pair needs no check when its nodes are known to be connected. So every bucket is first searched around its most
     connected member. Then only members outside the bucket's largest component are left to ask: in buckets with up to
     ``FEW`` of them, all are compared with the whole bucket; in wider ones the most connected of them is, round after
     round as long as links turn up. What wide buckets then still hold in different components goes through ``meet``,
-    which finds all candidates among them, and ``confirm``. So the pairs made grow with the members and with likely
-    links, never with the square of a bucket.
+    which returns the links that connect them. So the pairs made grow with the members, never with the square of a
+    bucket.
     """
     fame = members.groupBy("node").agg(F.sum("k").alias("fame"))
     known = settled(members.drop("k").join(fame, "node"))
@@ -265,7 +285,7 @@ def near_links(members: DataFrame, check, meet, confirm) -> tuple[DataFrame, Dat
     wide = rest.filter(F.col("outside") > FEW).select("key", "node", "component")
     if wide.isEmpty():
         return links, component
-    new = settled(confirm(settled(meet(wide).join(tried.select(*_ordered("a", "b")), ["a", "b"], "left_anti"))))
+    new = settled(meet(wide))
     if new.isEmpty():
         return links, component
     links = settled(links.unionByName(new))
@@ -292,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = checkpointed(_texts(docs, id_col, text_col, asked.drop("sig", "n")))
     _, component = near_links(
         members, lambda pairs: verified(settled(likely(pairs, asked, bands * rows, least)), texts, size, least),
-        lambda wide: wide_pairs(wide, asked, bands * rows, least), lambda pairs: verified(pairs, texts, size, least))
+        lambda wide: wide_links(wide, asked, texts, bands * rows, size, least))
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("least").alias("class_id"), F.min("r").alias("first"))
     by_node = checkpointed(placed.select("node", "component").join(heads, "component").select("node", "class_id", "first"))
