@@ -132,7 +132,7 @@ def residual_reads(spark, d):
 _DEMUX = """
 WITH h AS (SELECT r.read_id, b.tag, hamming(substr(r1_seq, 1, 6), barcode) AS mm FROM fx_reads r, fx_barcodes b WHERE length(r1_seq) >= 6),
 n AS (SELECT *, lead(mm) OVER (PARTITION BY read_id ORDER BY mm, tag) AS nxt, row_number() OVER (PARTITION BY read_id ORDER BY mm, tag) AS rk FROM h),
-ok AS (SELECT read_id, tag, mm FROM n WHERE rk = 1 AND mm <= 1 AND (nxt IS NULL OR nxt > mm)),
+ok AS (SELECT read_id, tag, mm FROM n WHERE rk = 1 AND mm <= 1 AND (nxt IS NULL OR nxt >= mm + 2)),
 dm AS (SELECT r.sample, r.read_id, coalesce(ok.tag, 'unmatched') AS tag, CAST(ok.mm AS INT) AS barcode_mm FROM fx_reads r LEFT JOIN ok USING (read_id))"""
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from locusflow.functions.special import digamma, lgamma, log_choose
 from locusflow.schema import run_keys
+from locusflow.operators.scaling import same_join
 
 RARE = 10  # abundance up to which a site counts as rare in the coverage-based richness estimate
 _BLOCK = 4096  # series terms summed per row
@@ -42,7 +43,7 @@ def moments(freq: DataFrame) -> DataFrame:
 def _with_moments(freq: DataFrame) -> DataFrame:
     runs = run_keys(freq)
     if runs:
-        return freq.join(moments(freq), runs)
+        return same_join(freq, moments(freq), runs)
     return freq.withColumn("_one", F.lit(1)).join(moments(freq).withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
@@ -97,7 +98,7 @@ def shannon_corrected(freq: DataFrame) -> DataFrame:
     runs = run_keys(freq)
     rows = _with_moments(freq)
     cov = coverage(freq).select(*runs, "turing", "zhang_huang")
-    rows = rows.join(cov, runs) if runs else rows.withColumns(
+    rows = same_join(rows, cov, runs) if runs else rows.withColumns(
         {c: cov.select(c).scalar() for c in ("turing", "zhang_huang")})
     p = F.col("k") / F.col("n")
     # with singletons only the Turing coverage is 0; one singleton is then taken as a doubleton
@@ -134,7 +135,7 @@ def shannon_harmonic(freq: DataFrame) -> DataFrame:
             .agg(F.sum(f * k / n * (F.log(n) - g)).alias("grassberger"),
                  F.sum(f * k / n * (digamma(n) - digamma(k))).alias("zhang")))
     unseen = _series(freq)
-    rows = base.join(unseen, runs, "left") if runs else base.withColumn("unseen", unseen.select("unseen").scalar())
+    rows = same_join(base, unseen, runs, "left") if runs else base.withColumn("unseen", unseen.select("unseen").scalar())
     return rows.select(*runs, "grassberger", "zhang",
                        (F.col("zhang") + F.coalesce("unseen", F.lit(0.0))).alias("chao_wang_jost"))
 
@@ -159,7 +160,7 @@ def richness(freq: DataFrame) -> DataFrame:
         F.coalesce(F.sum(rare * F.col("k")), F.lit(0)).alias("n_rare"),
         F.coalesce(F.sum(rare * F.col("k") * (F.col("k") - 1)), F.lit(0)).alias("pairs"))
     m = moments(freq)
-    rows = m.join(ace_parts, runs) if runs else m.withColumn("_1", F.lit(1)).join(
+    rows = same_join(m, ace_parts, runs) if runs else m.withColumn("_1", F.lit(1)).join(
         ace_parts.withColumn("_1", F.lit(1)), "_1").drop("_1")
     cov = F.when(F.col("n_rare") > 0, 1 - f1 / F.col("n_rare"))
     gamma2 = F.greatest(F.col("s_rare") / F.col("_c") * F.col("pairs")
@@ -240,4 +241,4 @@ def diversity_table(freq: DataFrame) -> DataFrame:
     runs = run_keys(freq)
     tables = [diversity_basic(freq), gini(freq), shannon_corrected(freq), shannon_harmonic(freq),
               coverage(freq).withColumnRenamed("chao", "chao_coverage"), richness(freq), uc50(freq)]
-    return reduce(lambda x, y: x.join(y, runs, "left"), tables)
+    return reduce(lambda x, y: same_join(x, y, runs, "left"), tables)

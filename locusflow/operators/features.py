@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from locusflow.operators.intervals import overlap_join
-from locusflow.operators.scaling import HOT_MIN_ROWS, checkpointed, tiled_scan, value_tiles
+from locusflow.operators.scaling import HOT_MIN_ROWS, checkpointed, same_join, tiled_scan, value_tiles
 from locusflow.schema import run_keys
 
 EXPERIMENTAL, RANDOM = "Experimental", "random"
@@ -110,7 +110,7 @@ def roc_curve(df: DataFrame, by: list[str], score: str = "value", points: int =
                                      F.sum("cases").alias("n1"), F.sum("controls").alias("n0"))
     steps = points - 1
     threshold = lambda i: F.when(i >= steps, F.col("hi")).otherwise(F.col("lo") + i * ((F.col("hi") - F.col("lo")) / steps))
-    joined = counts.join(ranges.drop("n1", "n0"), by)
+    joined = same_join(counts, ranges.drop("n1", "n0"), by)
     near = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("score") - F.col("lo")) / (F.col("hi") - F.col("lo")) * steps)).otherwise(steps)
     # the quotient may be off by one unit in the last place: settle it against the thresholds themselves
     filed = (joined.withColumn("i", F.least(near, F.lit(steps)))
@@ -118,7 +118,7 @@ def roc_curve(df: DataFrame, by: list[str], score: str = "value", points: int =
                          .when((F.col("i") > 0) & (threshold(F.col("i")) > F.col("score")), F.col("i") - 1).otherwise(F.col("i")))
              .groupBy(*by, "i").agg(F.sum("cases").alias("cases"), F.sum("controls").alias("controls")))
     grid = ranges.select(*by, "lo", "hi", "n1", "n0", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(steps).cast("bigint"))).alias("i"))
-    full = grid.join(filed, [*by, "i"], "left").na.fill(0, ["cases", "controls"])
+    full = same_join(grid, filed, [*by, "i"], "left").na.fill(0, ["cases", "controls"])
     rest = W.partitionBy(*by).orderBy("i").rowsBetween(0, W.unboundedFollowing)
     return (full.withColumn("threshold", threshold(F.col("i")))
             .withColumn("tp", F.sum("cases").over(rest)).withColumn("fp", F.sum("controls").over(rest))
@@ -138,7 +138,7 @@ def density(df: DataFrame, by: list[str], score: str = "value", bins: int = 50)
     ranges = rows.groupBy(*by).agg(F.min(score).alias("lo"), F.max(score).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     slot = F.when(width > 0, F.least(F.floor((F.col(score) - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
-    counted = rows.join(ranges, by).groupBy(*by, "cls", "lo", "hi", slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = same_join(rows, ranges, by).groupBy(*by, "cls", "lo", "hi", slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     whole = F.sum("n").over(W.partitionBy(*by, "cls"))
     return counted.select(*by, "cls", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_start"), "n",
                           F.when(width > 0, F.col("n") / (whole * width)).alias("density"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from locusflow.schema import run_keys
+from locusflow.operators.scaling import same_join
 
 
 def stage_counts(**stages: DataFrame) -> DataFrame:
@@ -36,9 +37,9 @@ def funnel(counts: DataFrame, dim: DataFrame, root: str = "R1_raw") -> DataFrame
     keys = [*runs, "description"]
     # a stage has a handful of parents
     asked = rows.select(*keys, F.explode(F.split("parents", ";")).alias("_parent")).distinct()
-    parents = asked.join(by_name, [*runs, "_parent"]).groupBy(*keys).agg(F.sum("_reads").alias("_parent_reads"))
+    parents = same_join(asked, by_name, [*runs, "_parent"]).groupBy(*keys).agg(F.sum("_reads").alias("_parent_reads"))
     whole = F.max(F.when(F.col("description") == root, F.col("reads"))).over(W.partitionBy(*(runs or [F.lit(0)])))
-    return (rows.join(parents, keys, "left").withColumn("_root", whole)
+    return (same_join(rows, parents, keys, "left").withColumn("_root", whole)
             .withColumn("pct_parent", F.round(100 * F.col("reads") / F.col("_parent_reads"), 1))
             .withColumn("pct_total", F.round(100 * F.col("reads") / F.col("_root"), 1))
             .drop("_parent_reads", "_root"))
@@ -79,7 +80,7 @@ def run_summary(annotated: DataFrame, count_missing_gene: bool = False) -> DataF
     sites = (annotated.select(*runs, *site).distinct()
              .groupBy(*runs, "chrom", "start0", "strand").agg(F.sum("n_reads").alias("n_reads"))
              .groupBy(*runs).agg(F.count(F.lit(1)).alias("unique_sites"), F.sum("n_reads").alias("reads")))
-    return rows.drop("_missing").join(sites, runs) if runs else bind_cols(rows.drop("_missing"), sites)
+    return same_join(rows.drop("_missing"), sites, runs) if runs else bind_cols(rows.drop("_missing"), sites)
 
 
 def bind_cols(*tables: DataFrame) -> DataFrame:

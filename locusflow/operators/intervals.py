@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from locusflow.operators.scaling import tiled_scan
+from locusflow.operators.scaling import same_join, tiled_scan
 from locusflow.schema import PROMOTER_TIERS, SPAN, WINDOWS, run_keys
 
 BIN = 16_384  # bin width of the overlap join, bp
@@ -311,7 +311,7 @@ def cluster(df: DataFrame, max_gap: int = -1, stranded: bool = True, points: boo
     keys = [*run_keys(df), "chrom", *(["strand"] if stranded else [])]
     found = islands(df, max_gap, stranded)
     on = [*keys, "start0"]
-    return df.join(found, on).select(*df.columns, "cluster")
+    return same_join(df, found, on).select(*df.columns, "cluster")
 
 
 def merge(df: DataFrame, max_gap: int = -1, stranded: bool = True, aggs: dict[str, Column] | None = None,

@@ -19,7 +19,7 @@ _BASES = ("A", "C", "G", "T", "N")
 # ---- demultiplexing ----------------------------------------------------------------------------
 
 
-def barcode_variants(barcodes: DataFrame, max_mm: int = 1, min_distance: int = 1) -> DataFrame:
+def barcode_variants(barcodes: DataFrame, max_mm: int = 1, min_distance: int = 2) -> DataFrame:
     """Every read start that is assigned, with its barcode and number of mismatches.
 
     ``barcodes`` holds ``(tag, barcode)``. Starts that are nearer than ``min_distance`` mismatches to a
@@ -42,7 +42,7 @@ def barcode_variants(barcodes: DataFrame, max_mm: int = 1, min_distance: int = 1
             .select("start", F.col("tag").alias("barcode_tag"), "mm"))
 
 
-def demultiplex(pairs: DataFrame, barcodes: DataFrame, max_mm: int = 1, min_distance: int = 1) -> DataFrame:
+def demultiplex(pairs: DataFrame, barcodes: DataFrame, max_mm: int = 1, min_distance: int = 2) -> DataFrame:
     """Add ``tag`` (``unmatched`` without a unique barcode at the start of R1); the barcode stays in the read.
 
     A lookup by equality against all accepted read starts replaces the comparison with every barcode.

@@ -8,6 +8,7 @@ chromosome or group, lists of a whole group - is cut into bounded pieces here.
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -36,6 +37,13 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def same_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join on columns of the same names in which NULL equals NULL, so that a run without a tag is a run too."""
+    named = right.select(*[F.col(c).alias(f"_same_{c}") if c in on else F.col(c) for c in right.columns])
+    meets = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in on])
+    return left.join(named, meets, how).drop(*[f"_same_{c}" for c in on])
+
+
 def hot_keys(counts: DataFrame, on: list[str], n: str = "n",
              share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
     """Keys holding more than ``share`` of all rows; fewer than ``1/share`` keys, whatever the data."""
@@ -71,7 +79,7 @@ def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, sc
         window = (W.partitionBy(*keys).orderBy(tile)
                   .rowsBetween(*_UNBOUNDED["after" if reach == "after" else "before"]))
         carried.append(_FOLD[fold](f"_t_{out}").over(window).alias(f"_c_{out}"))
-    joined = scanned.join(totals.select(*parts, *carried), parts)
+    joined = same_join(scanned, totals.select(*parts, *carried), parts)
     both = {}
     for out, (fold, _, _) in scans.items():
         if fold == "sum":
@@ -91,10 +99,10 @@ def value_tiles(df: DataFrame, keys: list[str], value: str, max_rows: int = HOT_
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(counts, keys, min_rows=max_rows)
     steps = [i / tiles for i in range(1, tiles)]
-    limits = (df.join(F.broadcast(hot), keys, "left_semi")
+    limits = (same_join(df, F.broadcast(hot), keys, "left_semi")
               .groupBy(*keys).agg(F.percentile_approx(value, steps, 1000).alias("_limits")))
     limits = F.broadcast(checkpointed(limits))
-    return (df.join(limits, keys, "left")
+    return (same_join(df, limits, keys, "left")
             .withColumn("_tile", F.when(
                 F.col("_limits").isNotNull(), F.size(F.filter("_limits", lambda x: x <= F.col(value)))).otherwise(0))
             .drop("_limits"))

@@ -322,6 +322,8 @@ def test_location_finds_every_accepted_placement(spark):
         s = "".join(s)
         reads[f"r{i}"] = s if rng.random() < 0.5 else s.translate(comp)[::-1]
     reads["poly"], reads["rep"] = "A" * 40, unit[40:140]
+    reads |= {f"short{n}": genome["g1"][200 + n:200 + 2 * n] for n in (15, 16, 17, 18)}
+    reads |= {"long": genome["g1"][100:500], "long_off": "A" + genome["g1"][301:641].translate(comp)[::-1]}
     table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 128)
     index = lc.kmer_index(table)
     df = spark.createDataFrame(list(reads.items()), "qname string, seq string").withColumn("n_reads", F.lit(2))
@@ -341,6 +343,17 @@ def test_location_finds_every_accepted_placement(spark):
     assert missing == {n for n, h in want.items() if not h}
 
 
+def test_runs_without_a_tag_are_runs(spark):
+    rng = random.Random(3)
+    genome = "".join(rng.choice("ACGT") for _ in range(500))
+    table = gn.chunked(spark.createDataFrame([("g", genome)], "chrom string, seq string"), 128)
+    df = spark.createDataFrame([("s", None, "r", genome[50:110], 2), (None, "t", "r", genome[90:150], 1)],
+                               "sample string, tag string, qname string, seq string, n_reads long")
+    got = lc.locate_reads(df, table, lc.kmer_index(table), chunk=128)
+    assert {(r.sample, r.tag, r.pos1) for r in got.collect()} == {("s", None, 51), (None, "t", 91)}
+    assert lc.unlocated(df, got).isEmpty()
+
+
 def test_pairs_are_located_within_the_fragment_range(spark):
     rng = random.Random(21)
     genome = {"g1": "".join(rng.choice("ACGT") for _ in range(6000))}
