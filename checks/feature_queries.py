@@ -82,7 +82,7 @@ SELECT a.track, round(100 * sum(CASE WHEN a.value > b.value THEN 1.0 WHEN a.valu
 FROM v a JOIN v b ON a.track = b.track AND a.cls = 'Experimental' AND b.cls = 'random' GROUP BY a.track""", "fx_signal"))
 def auc_continuous(spark, d):
     # the row limit is lowered so that the sliced path runs as well
-    return ft.auc(_scores(spark, d), ["track"], max_rows=100).select("track", F.round("auc", 6).alias("auc"))
+    return ft.auc(_scores(spark, d), ["track"], slice_rows=100).select("track", F.round("auc", 6).alias("auc"))
 
 
 _ROC = _SCORES + """,

@@ -242,9 +242,17 @@ def full_annotation(spark, d):
         "sample", "tag", "chrom", "start0", "strand", "gene_symbol", "region", "position", "reads_corrected", "fragments_corrected")
 
 
-@query("abundance_estimate")
+# the rounds of the estimate one fragment at a time, far beyond the point where they settle
+@query("abundance_estimate", duck(_FRAG + """,
+em AS (SELECT sample, tag, is_id, size, CAST(1 AS DOUBLE) AS e, 0 AS it FROM corr
+       UNION ALL
+       SELECT sample, tag, is_id, size, m / (1 - exp(-m)), it + 1
+       FROM (SELECT *, sum(e) OVER (PARTITION BY sample, tag, is_id) * sum(e) OVER (PARTITION BY sample, tag, size)
+                       / sum(e) OVER (PARTITION BY sample, tag) AS m FROM em WHERE it < 120) x)
+SELECT sample, tag, is_id, round(sum(e), 4) AS theta, true AS converged FROM em WHERE it = 120 GROUP BY ALL""", "fx_obs").replace("WITH ", "WITH RECURSIVE ", 1))
 def abundance_estimate(spark, d):
-    return fr.estimate_abundance(fr.correct_sizes(fr.fragment_counts(_obs(spark, d))), iterations=10)
+    found = fr.estimate_abundance(fr.correct_sizes(fr.fragment_counts(_obs(spark, d))), tol=1e-9)
+    return found.withColumn("theta", F.round("theta", 4))
 
 
 @query("top_sites", duck(_FRAG + """

@@ -103,8 +103,9 @@ def adapter_match(seq, adapter: str, end: str, min_overlap: int, error_rate: flo
     from collections.abc import Iterator
     find.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     result = F.pandas_udf(find, T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "stop", "errors")]))
-    hit = result(_col(seq))
-    return F.when(hit["start"] >= 0, hit)
+    # marked so that no filter takes a copy of the search with it; named once, so that it runs once
+    hit = result.asNondeterministic()(_col(seq))
+    return F.get(F.filter(F.array(hit), lambda h: h["start"] >= 0), F.lit(0))
 
 
 def quality_keep(qual, cutoff: int = 20, base: int = 33) -> Column:

@@ -16,7 +16,7 @@ from locusflow.schema import run_keys
 from locusflow.operators.scaling import same_join
 
 RARE = 10  # abundance up to which a site counts as rare in the coverage-based richness estimate
-_BLOCK = 4096  # series terms summed per row
+_GRID = 8  # points of the trapezoid rule per unit of ln u
 
 
 def frequencies(abundance: DataFrame, value: str) -> DataFrame:
@@ -108,21 +108,24 @@ def shannon_corrected(freq: DataFrame) -> DataFrame:
                  _horvitz(turing).alias("chao_shen"), _horvitz(F.col("zhang_huang")).alias("chao_shen_zh")))
 
 
-def _series(freq: DataFrame) -> DataFrame:
-    """Per run: the sum over r < n of q^r / r with q = 1 - A, computed in blocks of consecutive terms."""
+def _unseen_entropy(freq: DataFrame) -> DataFrame:
+    """Per run: the Chao-Wang-Jost part of sites not seen, f1/n * sum over r >= n of q^(r-n+1) / r with q = 1 - A.
+
+    The sum is the integral of q e^-u / (n (A - q expm1(-u/n))) over u > 0. In s = ln u it falls off fast on both sides, so
+    the trapezoid rule on a fixed grid gives full precision for any n and A, without a difference of large numbers.
+    """
     runs = run_keys(freq)
-    m = moments(freq).filter("f1 > 0 AND n > 1")
-    a = F.when(F.col("f2") > 0, 2 * F.col("f2") / ((F.col("n") - 1) * F.col("f1") + 2 * F.col("f2"))).otherwise(
-        F.when(F.col("f1") > 1, 2 / ((F.col("n") - 1) * (F.col("f1") - 1) + 2)).otherwise(1.0))
-    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 2) / _BLOCK)))
-    low = F.col("_b") * _BLOCK + 1
-    terms = F.sequence(low, F.least(low + _BLOCK - 1, F.col("n") - 1))
-    part = F.aggregate(terms, F.lit(0.0), lambda s, r: s + F.exp(r * F.log1p(-F.col("a"))) / r)
-    return (m.withColumn("a", a).withColumn("_b", blocks).withColumn("_part", F.when(F.col("a") < 1, part).otherwise(0.0))
-            .groupBy(*runs, "n", "f1", "a").agg(F.sum("_part").alias("_sum"))
-            .select(*runs, F.when(F.col("a") < 1, F.col("f1") / F.col("n")
-                    * F.exp((1 - F.col("n")) * F.log1p(-F.col("a"))) * (-F.log("a") - F.col("_sum")))
-                    .otherwise(0.0).alias("unseen")))
+    n, f1, f2 = F.col("n"), F.col("f1"), F.col("f2")
+    a = F.when(f2 > 0, 2 * f2 / ((n - 1) * f1 + 2 * f2)).when(f1 > 1, 2 / ((n - 1) * (f1 - 1) + 2)).otherwise(1.0)
+    q = 1 - F.col("a")
+
+    def term(i: Column) -> Column:
+        u = F.exp(i / _GRID)
+        return u * F.exp(-u) / (F.col("a") - q * F.expm1(-u / n))
+
+    grid = F.sequence(F.lit(-80 * _GRID), F.lit(5 * _GRID))
+    return (moments(freq).filter("f1 > 0 AND n > 1").withColumn("a", a)
+            .select(*runs, (f1 / n * q / n / _GRID * F.aggregate(grid, F.lit(0.0), lambda s, i: s + term(i))).alias("unseen")))
 
 
 def shannon_harmonic(freq: DataFrame) -> DataFrame:
@@ -134,7 +137,7 @@ def shannon_harmonic(freq: DataFrame) -> DataFrame:
     base = (_with_moments(freq).groupBy(*runs)
             .agg(F.sum(f * k / n * (F.log(n) - g)).alias("grassberger"),
                  F.sum(f * k / n * (digamma(n) - digamma(k))).alias("zhang")))
-    unseen = _series(freq)
+    unseen = _unseen_entropy(freq)
     rows = same_join(base, unseen, runs, "left") if runs else base.withColumn("unseen", unseen.select("unseen").scalar())
     return rows.select(*runs, "grassberger", "zhang",
                        (F.col("zhang") + F.coalesce("unseen", F.lit(0.0))).alias("chao_wang_jost"))

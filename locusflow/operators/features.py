@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from locusflow.operators.intervals import overlap_join
-from locusflow.operators.scaling import HOT_MIN_ROWS, checkpointed, same_join, tiled_scan, value_tiles
+from locusflow.operators.scaling import SLICE_ROWS, same_join, tiled_scan, value_slices
 from locusflow.schema import run_keys
 
 EXPERIMENTAL, RANDOM = "Experimental", "random"
@@ -80,19 +80,14 @@ def _classes(df: DataFrame, score: str, by: list[str]) -> DataFrame:
             .agg(F.count_if(F.col("cls") == EXPERIMENTAL).alias("cases"), F.count_if(F.col("cls") == RANDOM).alias("controls")))
 
 
-def auc(df: DataFrame, by: list[str], score: str = "value", max_rows: int = HOT_MIN_ROWS) -> DataFrame:
+def auc(df: DataFrame, by: list[str], score: str = "value", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Area under the ROC curve in percent: chance that a case scores above a control, ties counting half.
 
-    Works on distinct scores, counted once and kept in the checkpoint folder. A group with more than
-    ``max_rows`` distinct scores is cut into slices of equal count. Groups with a single class are left out.
+    Works on distinct scores, counted once and cut into slices of about ``slice_rows`` of them, whatever the groups' sizes.
+    Groups with a single class are left out.
     """
-    counts = checkpointed(_classes(df, score, by))
-    sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    if sizes.filter(F.col("n") > max_rows).isEmpty():
-        tiled, tile = counts, None
-    else:
-        tiled, tile = value_tiles(counts, by, "score", max_rows), "_tile"
-    ranked = tiled_scan(tiled, by, tile, ["score"], {"below": ("sum", F.col("controls"), "before")})
+    counts = value_slices(_classes(df, score, by), by, "score", slice_rows)
+    ranked = tiled_scan(counts, by, "_tile", ["score"], {"below": ("sum", F.col("controls"), "before")})
     wins = F.sum(F.col("cases") * (F.col("below") + F.col("controls") / 2))
     n1, n0 = F.sum("cases"), F.sum("controls")
     return (ranked.groupBy(*by).agg((100 * wins / (n1 * n0)).alias("auc"), n1.alias("cases"), n0.alias("controls"))

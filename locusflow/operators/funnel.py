@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from locusflow.schema import run_keys
-from locusflow.operators.scaling import same_join
+from locusflow.operators.scaling import checkpointed, same_join
 
 
 def stage_counts(**stages: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def describe_stages(counts: DataFrame, dim: DataFrame) -> DataFrame:
 
 def funnel(counts: DataFrame, dim: DataFrame, root: str = "R1_raw") -> DataFrame:
     """Reads of each stage, and their percentage of the summed parents and of the ``root`` stage."""
-    rows = describe_stages(counts, dim)
+    rows = checkpointed(describe_stages(counts, dim))  # a row per run and stage, so that every stage is counted once
     runs = run_keys(counts)
     by_name = rows.groupBy(*runs, F.trim("description").alias("_parent")).agg(F.sum("reads").alias("_reads"))
     keys = [*runs, "description"]

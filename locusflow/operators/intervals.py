@@ -331,13 +331,13 @@ def window_mean(windows: DataFrame, signal: DataFrame, track: str = "track") ->
 
     ``signal`` holds ``(track, chrom, start0, end0, value)``. The area under the signal and the covered
     length up to a position are running totals along the chromosome; a window's mean is the quotient of
-    their differences at its two borders, whatever its width.
+    their differences at its two borders, whatever its width. Signal that is NULL, NaN or infinite covers nothing.
     """
     spans = _spans(windows)
     step = F.explode(F.array(F.struct(F.col("start0").alias("pos"), F.col("value").alias("dv"), F.lit(1).alias("dc")),
                              F.struct(F.col("end0").alias("pos"), (-F.col("value")).alias("dv"), F.lit(-1).alias("dc"))))
     keys = [track, "chrom"]
-    events = (signal.filter("start0 < end0").withColumn("_e", step)
+    events = (signal.filter((F.col("start0") < F.col("end0")) & (F.abs("value") < F.lit(float("inf")))).withColumn("_e", step)
               .groupBy(*keys, F.col("_e.pos").alias("pos"))
               .agg(F.sum("_e.dv").alias("dv"), F.sum("_e.dc").alias("dc")))
     tracks = signal.agg(F.array_sort(F.collect_set(track)).alias("t")).scalar()

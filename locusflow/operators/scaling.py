@@ -12,10 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-# A key counts as hot when it holds more than this share of the rows; hence fewer than 1/share hot keys exist.
-HOT_SHARE = 1 / 1000
-# Below this many rows a single task copes with a key, so it is never split.
-HOT_MIN_ROWS = 1_000_000
+SLICE_ROWS = 250_000  # rows that one task scans in order, about
 
 
 def checkpoint_folder(spark) -> str:
@@ -44,13 +41,6 @@ def same_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     return left.join(named, meets, how).drop(*[f"_same_{c}" for c in on])
 
 
-def hot_keys(counts: DataFrame, on: list[str], n: str = "n",
-             share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """Keys holding more than ``share`` of all rows; fewer than ``1/share`` keys, whatever the data."""
-    limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.coalesce(F.sum(n), F.lit(0)) * F.lit(share)).scalar())
-    return counts.filter(F.col(n) > limit).select(*on)
-
-
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
 _UNBOUNDED = {"upto": (W.unboundedPreceding, 0), "before": (W.unboundedPreceding, -1), "after": (1, W.unboundedFollowing)}
 
@@ -89,23 +79,16 @@ def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, sc
     return joined.withColumns(both).drop(*[f"_c_{out}" for out in scans])
 
 
-def value_tiles(df: DataFrame, keys: list[str], value: str, max_rows: int = HOT_MIN_ROWS,
-                tiles: int = 256) -> DataFrame:
-    """Add ``_tile``: equal-count slices of ``value`` for groups with more than ``max_rows`` rows, 0 otherwise.
+def value_slices(df: DataFrame, keys: list[str], value: str, rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``_tile``: consecutive slices of about ``rows`` rows in the order of ``keys`` and ``value``.
 
-    The slice limits (at most ``tiles`` numbers for each of fewer than ``1/HOT_SHARE`` groups) are
-    checkpointed, so that a recomputed task cuts at the same numbers.
+    Slices are cut by range over all groups together, so that their number follows the rows at every size and a group of
+    any size spreads over as many as it needs. Rows should differ in ``keys`` and ``value``. The result is checkpointed,
+    as a slice is named by its partition.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, keys, min_rows=max_rows)
-    steps = [i / tiles for i in range(1, tiles)]
-    limits = (same_join(df, F.broadcast(hot), keys, "left_semi")
-              .groupBy(*keys).agg(F.percentile_approx(value, steps, 1000).alias("_limits")))
-    limits = F.broadcast(checkpointed(limits))
-    return (same_join(df, limits, keys, "left")
-            .withColumn("_tile", F.when(
-                F.col("_limits").isNotNull(), F.size(F.filter("_limits", lambda x: x <= F.col(value)))).otherwise(0))
-            .drop("_limits"))
+    kept = checkpointed(df)
+    slices = 1 + kept.count() // rows
+    return checkpointed(kept.repartitionByRange(slices, *keys, value).withColumn("_tile", F.spark_partition_id()))
 
 
 def value_lists(df: DataFrame, keys: list[str], value: str, part_size: int = 1000) -> DataFrame:

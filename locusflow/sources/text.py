@@ -24,7 +24,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(
         field(0).alias("qname"), field(1).cast("int").alias("flag"), field(2).alias("chrom"), field(3).cast("bigint").alias("pos1"),
         field(4).cast("int").alias("mapq"), field(5).alias("cigar"), field(9).alias("seq"), field(10).alias("qual"),
-        number("AS").alias("as_score"), number("XS").alias("xs_score"), F.regexp_extract(tag("MD"), r"^MD:Z:(.*)$", 1).alias("md"))
+        number("AS").alias("as_score"), number("XS").alias("xs_score"), F.nullif(F.regexp_extract(tag("MD"), r"^MD:Z:(.*)$", 1), F.lit("")).alias("md"))
 
 
 def read_bed(spark: SparkSession, path, schema: str = BED6, comment: str | None = None) -> DataFrame:

@@ -175,7 +175,7 @@ def test_sliced_auc_equals_plain_auc(spark):
     data += [("g", 1e9, "random"), ("g", 0.0, "random"), ("g", 0.0, "Experimental"), ("one", 1.0, "random")]
     df = spark.createDataFrame(data, "feature string, value double, cls string")
     plain = {r.feature: r.auc for r in ft.auc(df, ["feature"]).collect()}
-    sliced = {r.feature: r.auc for r in ft.auc(df, ["feature"], max_rows=50).collect()}
+    sliced = {r.feature: r.auc for r in ft.auc(df, ["feature"], slice_rows=50).collect()}
     assert set(plain) == {"g", "h"} and sliced == pytest.approx(plain)
     flipped = {r.feature: r.auc for r in ft.auc(df.withColumn("value", -F.col("value")), ["feature"]).collect()}
     assert plain["h"] + flipped["h"] == pytest.approx(100)
@@ -377,3 +377,43 @@ def test_intron_of_an_unnamed_gene_is_intronic(spark):
     exons = spark.createDataFrame([("c", 5, 6, 1.0, "+", 3, None, None)], site + ", b_name string, b_gene_symbol string")
     row = annotate.classify_position(regions, exons).first()
     assert (row.n_exons, row.position) == (0, "Intronic")
+
+
+def test_signal_that_is_not_finite_covers_nothing(spark):
+    signal = spark.createDataFrame([("t", "c", 0, 10, 1.0), ("t", "c", 10, 20, float("nan")), ("t", "c", 20, 30, float("inf")),
+                                    ("t", "c", 30, 40, None), ("t", "c", 990, 1000, 3.0)],
+                                   "track string, chrom string, start0 bigint, end0 bigint, value double")
+    windows = spark.createDataFrame([("c", 0, 40), ("c", 15, 35), ("c", 980, 1000)], "chrom string, start0 bigint, end0 bigint")
+    got = {r.start0: r.value for r in iv.window_mean(windows, signal).collect()}
+    assert got == {0: 1.0, 15: None, 980: 3.0}
+
+
+def test_unseen_entropy_keeps_its_digits(spark):
+    import math
+
+    cases = {"a": (100_000, 1, 20), "b": (100_000, 1, 400), "c": (500, 30, 7), "d": (50, 3, 0)}
+    rows = [(t, k, f) for t, (n, f1, f2) in cases.items() for k, f in ((1, f1), (2, f2), (n - f1 - 2 * f2, 1)) if f]
+    got = {r.t: r.unseen for r in dv._unseen_entropy(spark.createDataFrame(rows, "tag string, k bigint, f bigint")
+                                                     ).withColumnRenamed("tag", "t").collect()}
+    for t, (n, f1, f2) in cases.items():
+        a = 2 * f2 / ((n - 1) * f1 + 2 * f2) if f2 else 2 / ((n - 1) * (f1 - 1) + 2)
+        want = f1 / n * math.fsum((1 - a) ** (r - n + 1) / r for r in range(n, n + int(50 / a)))
+        assert math.isclose(got[t], want, rel_tol=1e-9)
+
+
+def test_slices_follow_the_rows_whatever_the_groups(spark):
+    from locusflow.operators.scaling import value_slices
+
+    df = spark.range(60_000).selectExpr("CASE WHEN id < 20000 THEN 0 ELSE id % 50 + 1 END AS g", "CAST(id AS double) AS score")
+    cut = value_slices(df, ["g"], "score", 1000)
+    assert cut.groupBy("_tile").count().agg(F.max("count")).first()[0] <= 3000
+    per = cut.groupBy("g", "_tile").agg(F.min("score").alias("lo"), F.max("score").alias("hi")).orderBy("g", "_tile").collect()
+    assert all(x.hi < y.lo for x, y in zip(per, per[1:]) if x.g == y.g) and len({r._tile for r in per if r.g == 0}) >= 10
+
+
+def test_an_adapter_is_searched_once_for_each_rule(spark):
+    from locusflow.operators import reads as rd
+
+    pairs = spark.createDataFrame([("r", "ACGT", "IIII", "ACGT", "IIII")], "read_id string, r1_seq string, r1_qual string, r2_seq string, r2_qual string")
+    plan = rd.require_elongation(rd.require_ltr(pairs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and plan.count("find(") == 2
