@@ -97,16 +97,24 @@ rare AS (SELECT sample, tag, CAST(coalesce(sum(f) FILTER (k <= 10), 0) AS DOUBLE
                 CAST(coalesce(sum(f * k) FILTER (k <= 10), 0) AS DOUBLE) AS nr, CAST(coalesce(sum(f * k * (k - 1)) FILTER (k <= 10), 0) AS DOUBLE) AS pr
          FROM fr GROUP BY sample, tag),
 c AS (SELECT *, 1 - f1 / nr AS cv, s + CASE WHEN f2 > 0 THEN (n - 1) / n * f1 * f1 / (2 * f2) ELSE (n - 1) / n * f1 * (f1 - 1) / 2 END AS chao1
-      FROM m JOIN rare USING (sample, tag))
+      FROM m JOIN rare USING (sample, tag)),
+-- slopes of the estimate by small steps to both sides
+step AS (SELECT sample, tag, k, f, sg, sa, sr + sg * 1e-4::DOUBLE AS sr, nr + sg * 1e-4::DOUBLE * k AS nr, pr + sg * 1e-4::DOUBLE * k * (k - 1) AS pr,
+                f1 + CASE WHEN k = 1 THEN sg * 1e-4::DOUBLE ELSE 0 END AS f1
+         FROM fr JOIN c USING (sample, tag) CROSS JOIN (VALUES (1), (-1)) t(sg) WHERE k <= 10),
+slope AS (SELECT sample, tag, k, f, sum(sg * (sr / cv + f1 / cv * greatest(sr / cv * pr / (nr * (nr - 1)) - 1, 0))) / 2e-4::DOUBLE AS d
+          FROM (SELECT *, 1 - f1 / nr AS cv FROM step) x GROUP BY sample, tag, k, f),
+spread AS (SELECT sample, tag, sum(d * d * f) AS s2, sum(d * f) AS s1 FROM slope GROUP BY sample, tag)
 SELECT sample, tag, CAST(s AS BIGINT) AS observed, round(chao1, 6) AS chao1,
        round(chao1 + (n - 3) / (4 * n) * f3 / greatest(f4, 1) * greatest(f1 - (n - 3) / (2 * (n - 1)) * f2 * f3 / greatest(f4, 1), 0), 6) AS ichao1,
        round(s + f1 * (f1 - 1) / (2 * (f2 + 1)), 6) AS chao1_unbiased,
        round(sqrt(greatest(CASE WHEN f1 > 0 AND f2 > 0 THEN f1 * (f1 - 1) / 2 / (f2 + 1) + f1 * pow(2 * f1 - 1, 2) / 4 / pow(f2 + 1, 2) + f1 * f1 * f2 * pow(f1 - 1, 2) / 4 / pow(f2 + 1, 4)
               WHEN f1 > 0 THEN f1 * (f1 - 1) / 2 + f1 * pow(2 * f1 - 1, 2) / 4 - pow(f1, 4) / 4 / (s + f1 * (f1 - 1) / 2) ELSE 0 END, 0)), 6) AS chao1_se,
-       round(sa + sr / cv + f1 / cv * greatest(sr / cv * pr / (nr * (nr - 1)) - 1, 0), 6) AS ace
-FROM c""", "fx_obs"))
+       round(sa + sr / cv + f1 / cv * greatest(sr / cv * pr / (nr * (nr - 1)) - 1, 0), 6) AS ace,
+       round(sqrt(s2 - s1 * s1 / (sa + sr / cv + f1 / cv * greatest(sr / cv * pr / (nr * (nr - 1)) - 1, 0))), 3) AS ace_se
+FROM c JOIN spread USING (sample, tag)""", "fx_obs"))
 def richness(spark, d):
-    return _rounded(dv.richness(_freq(spark, d)))
+    return _rounded(dv.richness(_freq(spark, d))).withColumn("ace_se", F.round("ace_se", 3))
 
 
 @query("uc50", duck(_FREQ + """

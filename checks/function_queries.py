@@ -57,13 +57,16 @@ def site_ids(spark, d):
     return sites.select("sample", "tag", st.site_id().alias("is_id"), "n_reads", F.round("log10_n_reads", 6).alias("log10_n_reads"))
 
 
+RUNS = [f"S{s}_TAG{t}" for s in (1, 2, 3) for t in (1, 2)]
+
+
 @query("site_matrix", duck("""
-SELECT chrom || '_' || CAST(start0 AS STRING) || '_' || strand AS is_id, CAST(coalesce(sum(n_reads) FILTER (sample = 'S1'), 0) AS BIGINT) AS "S1",
-       CAST(coalesce(sum(n_reads) FILTER (sample = 'S2'), 0) AS BIGINT) AS "S2", CAST(coalesce(sum(n_reads) FILTER (sample = 'S3'), 0) AS BIGINT) AS "S3"
-FROM fx_sites GROUP BY 1""", "fx_sites"))
+SELECT chrom || '_' || CAST(start0 AS STRING) || '_' || strand AS is_id, """ + ", ".join(
+    f"CAST(coalesce(sum(n_reads) FILTER (sample = '{r[:2]}' AND tag = '{r[3:]}'), 0) AS BIGINT) AS \"{r}\"" for r in RUNS)
+    + " FROM fx_sites GROUP BY 1", "fx_sites"))
 def site_matrix(spark, d):
     sites = view(spark, d, "fx_sites").withColumn("is_id", st.site_id())
-    return dv.site_matrix(sites, "n_reads", ["S1", "S2", "S3"])
+    return dv.site_matrix(sites, "n_reads", RUNS)
 
 
 @query("stacked_tables", duck("""

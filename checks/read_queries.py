@@ -155,7 +155,9 @@ def demux_counts(spark, d):
 @query("read_statistics", duck("""
 SELECT sample, tag, count(*) AS reads, min(length(r1_seq)) AS len_min, max(length(r1_seq)) AS len_max, round(avg(length(r1_seq)), 6) AS len_mean,
        CAST(sum(length(r1_seq)) AS BIGINT) AS total_bases,
+       min(list_min([ascii(c) - 33 for c in string_split(r1_qual, '')])) AS qual_min, max(list_max([ascii(c) - 33 for c in string_split(r1_qual, '')])) AS qual_max,
+       round(sum(list_sum([ascii(c) - 33 for c in string_split(r1_qual, '')])) / sum(length(r1_qual)), 6) AS qual_mean,
 """ + ",\n".join(f"CAST(sum(length(r1_seq) - length(replace(r1_seq, '{b}', ''))) AS BIGINT) AS \"n_{b}\"" for b in "ACGTN")
     + " FROM fx_reads GROUP BY sample, tag", "fx_reads"))
 def read_statistics(spark, d):
-    return al.fastq_stats(rd.single_reads(_reads(spark, d))).withColumn("len_mean", F.round("len_mean", 6))
+    return al.fastq_stats(rd.single_reads(_reads(spark, d))).withColumns({c: F.round(c, 6) for c in ("len_mean", "qual_mean")})

@@ -161,18 +161,30 @@ def richness(freq: DataFrame) -> DataFrame:
     ace_parts = freq.groupBy(*runs).agg(
         F.coalesce(F.sum(rare), F.lit(0)).alias("s_rare"), F.sum(F.when(F.col("k") > RARE, F.col("f")).otherwise(0)).alias("s_abund"),
         F.coalesce(F.sum(rare * F.col("k")), F.lit(0)).alias("n_rare"),
-        F.coalesce(F.sum(rare * F.col("k") * (F.col("k") - 1)), F.lit(0)).alias("pairs"))
+        F.coalesce(F.sum(rare * F.col("k") * (F.col("k") - 1)), F.lit(0)).alias("pairs"),
+        F.collect_list(F.when(F.col("k") <= RARE, F.struct("k", "f"))).alias("_rare"))
     m = moments(freq)
     rows = same_join(m, ace_parts, runs) if runs else m.withColumn("_1", F.lit(1)).join(
         ace_parts.withColumn("_1", F.lit(1)), "_1").drop("_1")
     cov = F.when(F.col("n_rare") > 0, 1 - f1 / F.col("n_rare"))
     gamma2 = F.greatest(F.col("s_rare") / F.col("_c") * F.col("pairs")
                         / (F.col("n_rare") * (F.col("n_rare") - 1)) - 1, F.lit(0.0))
-    ace = F.when(F.col("_c") > 0, F.col("s_abund") + F.col("s_rare") / F.col("_c") + f1 / F.col("_c")
-                 * F.when(F.col("n_rare") > 1, gamma2).otherwise(0.0)).when(F.col("s_rare") == 0, s.cast("double"))
-    return (rows.withColumn("_c", F.when(cov > 0, cov))
+    c, g, rare_n = F.col("_c"), F.col("_g"), F.col("n_rare")
+    ace = F.when(c > 0, F.col("s_abund") + F.col("s_rare") / c + f1 / c * g).when(F.col("s_rare") == 0, s.cast("double"))
+
+    def slope(i: Column) -> Column:
+        """Change of the estimate with the number of sites of abundance ``i``."""
+        one = F.when(i == 1, 1.0).otherwise(0.0)
+        dc = f1 * i / (rare_n * rare_n) - one / rare_n
+        dg = F.when(g > 0, (g + 1) * (1 / F.col("s_rare") + i * (i - 1) / F.col("pairs") - dc / c - i / rare_n - i / (rare_n - 1))).otherwise(0.0)
+        return (1 + one * g + f1 * dg) / c - (F.col("s_rare") + f1 * g) * dc / (c * c)
+
+    total = lambda term: F.aggregate("_rare", F.lit(0.0), lambda acc, x: acc + term(slope(x["k"])) * x["f"])
+    ace_var = total(lambda d: d * d) - F.pow(total(lambda d: d), F.lit(2)) / F.col("ace")
+    return (rows.withColumn("_c", F.when(cov > 0, cov)).withColumn("_g", F.when(rare_n > 1, gamma2).otherwise(0.0)).withColumn("ace", ace)
             .select(*runs, s.alias("observed"), chao1.alias("chao1"), (chao1 + extra).alias("ichao1"),
-                    unbiased.alias("chao1_unbiased"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("chao1_se"), ace.alias("ace")))
+                    unbiased.alias("chao1_unbiased"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("chao1_se"), "ace",
+                    F.sqrt(F.greatest(ace_var, F.lit(0.0))).alias("ace_se")))
 
 
 def lorenz(freq: DataFrame) -> DataFrame:
@@ -234,9 +246,10 @@ def rarefaction(freq: DataFrame, step: int = 1000) -> DataFrame:
             .agg(F.sum(F.col("f") * (1 - missed)).alias("expected_sites")))
 
 
-def site_matrix(abundance: DataFrame, value: str, samples: list[str]) -> DataFrame:
-    """Site x sample table, one row per sample and one column per site group, for the named samples."""
-    return abundance.groupBy("is_id").pivot("sample", samples).agg(F.sum(value)).na.fill(0)
+def site_matrix(abundance: DataFrame, value: str, runs: list[str]) -> DataFrame:
+    """Site x run table: one row per site and one column for each of the named runs (``sample_tag``)."""
+    label = F.concat_ws("_", *run_keys(abundance))
+    return abundance.withColumn("_run", label).groupBy("is_id").pivot("_run", runs).agg(F.sum(value)).na.fill(0)
 
 
 def diversity_table(freq: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ class SiteTables:
     residual_obs: DataFrame
     qualitative: DataFrame
     quantitative: DataFrame
+    quant_obs: DataFrame
     fragments: DataFrame
     stages: DataFrame
 
@@ -85,8 +86,10 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, genome: DataFra
     single = st.aln_to_interval(al.unique_hit(al.exact_junction(r1_aln)))
     fragments = st.union_fragments(single, st.pair_fragment(confident))
     stages = fn.stage_counts(R1_raw=tagged, R1_trimmed=linked, R1_linker=with_r1, R1_linkerR2=with_r2, R1_collapsed=unique,
-                             R1_located=r1_aln, pairs_located=pair_aln, Qual_sites=qualitative)
-    return SiteTables(r1_obs, pair_by_size, residual_obs, qualitative, quantitative, fragments, stages)
+                             R1_located=r1_aln, pairs_located=pair_aln, Qual_sites=qualitative, R1_noLinker=without, pairs_long=ready,
+                             R1_exact=al.exact_junction(r1_aln), R1_unique=al.unique_hit(al.exact_junction(r1_aln)),
+                             pairs_confident=confident, pairs_rescued=rescued, Quant_sites=quantitative)
+    return SiteTables(r1_obs, pair_by_size, residual_obs, qualitative, quantitative, st.union_quant(r1_obs, pair_by_size), fragments, stages)
 
 
 def annotate_sites(qualitative: DataFrame, tx: DataFrame, sizes: DataFrame) -> DataFrame:

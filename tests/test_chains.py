@@ -92,7 +92,7 @@ def test_annotation_abundance_association_and_report(spark, run, tables):
                                "gene_symbol string, tx_id string, chrom string, strand string, tx_start bigint, tx_end bigint, "
                                "exon_starts array<bigint>, exon_ends array<bigint>")
     sizes = spark.createDataFrame([("chr1", 12_000), ("chr2", 12_000)], "chrom string, length bigint")
-    obs = tables.quantitative.withColumn("size", F.lit(50))
+    obs = tables.quant_obs
     annotated = chains.full_annotation(tables.qualitative, obs, tx, sizes, iterations=3).cache()
     position = {(r.sample, r.tag, r.chrom, r.start0): (r.gene_symbol, r.position) for r in annotated.collect()}
     assert position[("S1", "TAG1", "chr1", 1000)] == ("GA", "Exonic")
