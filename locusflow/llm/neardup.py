@@ -1,4 +1,4 @@
-"""Near-duplicate texts by ProbMinHash sketches of weighted word shingles, banding and exact verification.
+"""Near-duplicate texts by ProbMinHash sketches of their sets of word shingles, banding and exact verification.
 
 Texts with equal shingles and weights form one node. A bucket (nodes with an equal band) is searched by stars: all its
 members are compared with its most connected member; only buckets whose members then still lie in several
@@ -107,7 +107,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
                 use = np.isin(doc, large)
                 at_large = np.concatenate([[0], np.cumsum(n[large])])
                 drawn = np.zeros((b - a, bands * rows), np.uint32)
-                drawn[large] = sketch(hashes[use], 1.0 + np.log2(counts[use]), at_large, bands * rows)
+                drawn[large] = sketch(hashes[use], np.ones(at_large[-1]), at_large, bands * rows)
                 keys = _bands(drawn[large], bands, rows).view(np.int64)
                 lists = np.zeros(b - a, np.int64)
                 lists[large] = bands
@@ -298,8 +298,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked when the sets of their ``size``-word shingles have a Jaccard similarity of at least ``least``;
     classes are the components of the links, named by their smallest id. ``kept`` marks the rows of the first text (by id
-    and hash) of each class; rows repeated with id and text are all marked. Shingles weigh 1 plus the logarithm of their
-    count in the search. All texts without words (null and empty ones too) form one class; null ids come first in
+    and hash) of each class; rows repeated with id and text are all marked. The search takes the same similarity: every
+    distinct shingle weighs 1, however often it stands in a text. All texts without words (null and empty ones too) form one class; null ids come first in
     ``kept`` and never name a class that has another; an empty table gives no rows.
     """
     drawn = checkpointed(sketches(docs, id_col, text_col, size, bands, rows))

@@ -108,6 +108,26 @@ def test_documents(spark, tmp_path):
     assert got == {r.doc_id: rows[want[i]].doc_id for i, r in enumerate(rows)}
 
 
+def test_passages_repeated_otherwise(spark, tmp_path):
+    """Copies in which a passage stands 2, 4 and 16 times: the sets are alike, the counts are not."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts = []
+    for times, edits in ((2, 6), (4, 4), (16, 0), (16, 2)):
+        for _ in range(8):
+            page = [word() for _ in range(400)]
+            copy = page[:200] * times + page[200:]
+            for at in rng.sample(range(len(copy) - 200, len(copy)), edits):
+                copy[at] = word()
+            texts += [" ".join(page), " ".join(copy)]
+    want = classes(texts)
+    assert want == [i - i % 2 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_null_and_repeated_ids(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     page = " ".join(f"word{i}" for i in range(100))
