@@ -1,6 +1,6 @@
 """Near-duplicate texts by ProbMinHash sketches of their sets of word shingles, banding and exact verification.
 
-Texts with equal shingles and weights form one node. A bucket (nodes with an equal band) is searched by stars: all its
+Texts with equal sets of shingles form one node. A bucket (nodes with an equal band) is searched by stars: all its
 members are compared with its most connected member; only buckets whose members then still lie in several
 components are looked at again, with the members outside the first component. What is then still apart in wide buckets
 is compared all with all inside blocks of bounded size, of which only links leave, so that none is lost.
@@ -85,10 +85,10 @@ def _bands(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """``id, th`` (hash of the text), ``node`` (digest of shingles and weights), ``n`` shingles, ``bands`` and ``sig`` (a byte of
+    """``id, th`` (hash of the text), ``node`` (digest of the set of shingles), ``n`` shingles, ``bands`` and ``sig`` (a byte of
     each register).
 
-    Texts of fewer than four shingles get no bands: at a similarity of 0.8 they match equal texts only.
+    Texts of fewer than four shingles get no bands: at a similarity of 0.8 they match equal sets only, which are one node.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -96,9 +96,9 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
             for a, b in words.chunks(texts, 1 << 20):
-                hashes, counts, at = shingles(texts[a:b], size)
+                hashes, _, at = shingles(texts[a:b], size)
                 doc = np.repeat(np.arange(b - a), np.diff(at))
-                mixed = words.mix(hashes + counts.astype(_U) * _U(_GOLD))
+                mixed = words.mix(hashes + _U(_GOLD))
                 two = np.zeros((b - a, 2), _U)
                 np.add.at(two[:, 0], doc, mixed)
                 np.add.at(two[:, 1], doc, words.mix(mixed ^ _U(_GOLD)))

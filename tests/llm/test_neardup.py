@@ -128,6 +128,20 @@ def test_passages_repeated_otherwise(spark, tmp_path):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_equal_sets_of_few_shingles(spark, tmp_path):
+    """Repeats of period 1 to 3, of different lengths, are one class each; so are longer periods."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    texts = ["buy now cheap " * 10, "buy now cheap " * 11, "w " * 40, "w " * 50, "w " * 7, "on off " * 9, "on off " * 30, "w w w w", "buy now cheap",
+             "a b c d e f g " * 5, "a b c d e f g " * 9]
+    want = classes(texts)
+    assert want == [0, 0, 2, 2, 2, 5, 5, 7, 8, 9, 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in neardup.near_duplicates(docs).collect()}
+    assert [got[i].class_id for i in range(len(texts))] == want
+    assert all(got[i].kept == (i == want[i]) for i in range(len(texts)))
+    assert {r.doc_id for r in neardup.one_of_each_class(docs).collect()} == set(want)
+
+
 def test_null_and_repeated_ids(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path))
     page = " ".join(f"word{i}" for i in range(100))
