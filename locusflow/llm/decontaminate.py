@@ -1,31 +1,70 @@
-"""Benchmark decontamination by spaced seeds, with DataFrame functions only."""
+"""Benchmark decontamination by seeds that no accepted damage can hit all at once, with DataFrame functions only."""
 
 from __future__ import annotations
 
+import math
+from functools import cache
+from itertools import combinations
+
 from pyspark.sql import DataFrame, functions as F
 
 from locusflow.operators.scaling import checkpointed
 
-# Word places that a mask looks at; the others may differ. All masks lie within SPAN words.
-MASKS = ((0, 1, 2, 4, 7), (0, 2, 3, 5, 6), (0, 1, 4, 5, 7))
-SPAN = 8
+# Word places that a mask looks at, as offsets from its first; the others may differ.
+RUN = (0, 1, 2, 3)
+SPACED = ((0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))
 BROADCAST_SEEDS = 500_000  # up to so many benchmark seeds (24 bytes each) are broadcast
 
 
+def _covers(masks: tuple, n: int, changed: int) -> bool:
+    """Whether every choice of ``changed`` among ``n`` words leaves a mask without one of them."""
+    places = [sum(1 << at + k for k in m) for m in masks for at in range(n - m[-1])]
+    return all(any(not p & hit for p in places) for hit in (sum(1 << k for k in c) for c in combinations(range(n), changed)))
+
+
+@cache
+def masks_for(n: int, least: float) -> tuple:
+    """Masks of which one at least is whole in every copy of ``n`` words that keeps ``least`` of them in place.
+
+    ``changed`` words cut the others into ``changed + 1`` runs, so the longest has at least ``run`` words: four for most
+    lengths. Shorter items get spaced masks, proved by trying all changes; items that must be whole are one seed.
+    """
+    changed = n - math.ceil(least * n - 1e-9)
+    run = -(-(n - changed) // (changed + 1))
+    if run >= len(RUN):
+        return (RUN,)
+    if changed == 0:
+        return (tuple(range(n)),)
+    if math.comb(n, changed) <= 10_000:
+        for more in range(1, len(SPACED) + 1):
+            if _covers((RUN, *SPACED[:more]), n, changed):
+                return (RUN, *SPACED[:more])
+    return (tuple(range(max(run, 1))),)
+
+
 def word_hashes(text):
     """A 64-bit hash of every lower-cased word (run of letters, digits and characters beyond ASCII); null: none."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     return F.transform(F.array_remove(parts, ""), lambda w: F.xxhash64(w))
 
 
-def seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, ``pos`` and ``seed``, one row for each mask at every place of ``w`` that holds a whole span."""
-    last = F.size("w") - SPAN  # the last place
-    columns = [F.slice("w", k + 1, F.greatest(last + 1, F.lit(0))) for k in range(SPAN)]
-    spans = F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(columns)], F.sequence(F.lit(0), last).alias("pos"))
-    rows = rows.filter(F.size("w") >= SPAN).select(*keep, F.inline(spans).alias(*[f"w{k}" for k in range(SPAN)], "pos"))
-    each = F.array(*[F.xxhash64(F.lit(m), *[F.col(f"w{k}") for k in mask]) for m, mask in enumerate(MASKS)])
-    return rows.select(*keep, "pos", F.explode(each).alias("seed"))
+def seeds(rows: DataFrame, keep: list[str], masks: dict) -> DataFrame:
+    """``keep``, ``pos`` and ``seed``, one row for each mask at every place of ``w`` that holds all its words.
+
+    ``masks`` maps each mask to the numbers of words of the rows that it is for (None: all).
+    """
+    span = 1 + max((m[-1] for m in masks), default=0)
+    columns = [F.slice("w", k + 1, F.size("w")) for k in range(span)]  # null past the end
+    spans = F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(columns)], F.sequence(F.lit(0), F.size("w") - 1).alias("pos"))
+    size = F.size("w").alias("size")
+    rows = rows.filter(F.size("w") > 0).select(*keep, size, F.inline(spans).alias(*[f"w{k}" for k in range(span)], "pos"))
+    each = []
+    for mask, sizes in masks.items():
+        fits = F.col(f"w{mask[-1]}").isNotNull()
+        seed = F.xxhash64(F.lit(sum(1 << k for k in mask)), *[F.col(f"w{k}") for k in mask])
+        each.append(F.when(fits if sizes is None else fits & F.col("size").isin(sizes), seed))
+    each = F.array(*each) if each else F.array().cast("array<bigint>")
+    return rows.select(*keep, "pos", F.explode(each).alias("seed")).filter(F.col("seed").isNotNull())
 
 
 def _aligned(hits: DataFrame, least: float) -> DataFrame:
@@ -44,22 +83,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``id, th`` (hash of the text), ``item``, ``first_word``, ``n_words`` and ``n_same`` of each place where a document holds
     a benchmark item with at least ``least`` of its words unchanged and in place.
 
-    Items of fewer than 8 words are left out: they can't be told from chance. A null text has no words; equal rows give
-    one result; null ids are kept; an empty table gives no rows. The benchmark's seeds are counted: up to
+    Every such place is found, also of the shortest items (of fewer than 5 words, all have to be there at a ``least`` of
+    0.8); an item without words is nowhere. A null text has no words; equal rows give one result; null ids are kept; an
+    empty table gives no rows. The benchmark's seeds are counted: up to
     ``BROADCAST_SEEDS`` they are broadcast, beyond that both sides are shuffled by seed and the words fetched afterwards.
     """
     items = checkpointed(benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("iw"))
-                         .filter(F.size("iw") >= SPAN).distinct())
-    marks = checkpointed(seeds(items.withColumnRenamed("iw", "w"), ["item"]).withColumnRenamed("pos", "ipos").distinct())
+                         .filter(F.size("iw") > 0).distinct())
+    masks: dict = {}
+    for (n,) in items.select(F.size("iw")).distinct().collect():
+        for mask in masks_for(n, least):
+            masks.setdefault(mask, []).append(n)
+    marks = checkpointed(seeds(items.withColumnRenamed("iw", "w"), ["item"], masks).withColumnRenamed("pos", "ipos").distinct())
+    masks = dict.fromkeys(masks)
     n_seeds = marks.count()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), word_hashes(F.col(text_col)).alias("w"))
     keys = ["id", "th", "item", "first_word", "n_words", "n_same"]
     if n_seeds <= BROADCAST_SEEDS:
-        hits = seeds(rows, ["id", "th", "w"]).join(F.broadcast(marks), "seed")
-        # the items hold no more words than there are seeds
+        hits = seeds(rows, ["id", "th", "w"], masks).join(F.broadcast(marks), "seed")
+        # an item of n words has at least n - 3 seeds, and one at least
         hits = hits.withColumn("diagonal", F.col("pos") - F.col("ipos")).join(F.broadcast(items), "item")
         return _aligned(hits, least).select(*keys).distinct()
-    hits = (seeds(rows, ["id", "th"]).join(marks, "seed").select("id", "th", "item", (F.col("pos") - F.col("ipos")).alias("diagonal"))
+    hits = (seeds(rows, ["id", "th"], masks).join(marks, "seed").select("id", "th", "item", (F.col("pos") - F.col("ipos")).alias("diagonal"))
             .distinct())
     found = hits.withColumnsRenamed({"id": "id2", "th": "th2"})
     joined = (found.join(rows.distinct(), F.col("id2").eqNullSafe(F.col("id")) & (F.col("th2") == F.col("th"))).join(items, "item"))

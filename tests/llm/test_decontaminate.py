@@ -1,5 +1,6 @@
 """Spaced seeds against a comparison of every item with every place of every document."""
 
+import itertools
 import random
 import re
 
@@ -49,3 +50,46 @@ def test_found_as_by_brute_force(spark, tmp_path, monkeypatch):
         left = {r.doc_id for r in decontaminate.without_contaminated(d, b).collect()}
         assert left == set(range(len(docs))) - {w[0] for w in want}
     assert decontaminate.contaminated(d.limit(0), b).count() == 0 and decontaminate.contaminated(d, b.limit(0)).count() == 0
+
+
+def test_no_accepted_damage_without_a_seed():
+    """All choices of the most words that may differ, for every length; beyond 25 words the longest run left is enough."""
+    for n in range(1, 26):
+        masks, changed = decontaminate.masks_for(n, 0.8), n // 5
+        places = [{at + k for k in m} for m in masks for at in range(n - m[-1])]
+        for hit in itertools.combinations(range(n), changed):
+            assert any(p.isdisjoint(hit) for p in places), (n, hit)
+    for n in range(26, 2000):
+        assert decontaminate.masks_for(n, 0.8) == ((0, 1, 2, 3),) and n - n // 5 > 3 * (n // 5 + 1)
+
+
+def test_every_place_of_items_of_any_length(spark, tmp_path, monkeypatch):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(7))
+    items = [" ".join(word() for _ in range(n)) for n in range(1, 27)] + ["", None, "!!"]
+    docs = []
+    for n in range(1, 27):
+        w = split(items[n - 1])
+        hits = list(itertools.combinations(range(n), n // 5))
+        lost = [h for h in ((0,), (1, 2), (5, 6, 7), (3, 7, 11)) if len(h) == n // 5 and h[-1] < n]
+        for hit in lost + rng.sample(hits, min(len(hits), 12)):
+            copy = [word() if k in hit else x for k, x in enumerate(w)]
+            docs += [" ".join([word(), word(), *copy, word()])]
+        cut = n // 5
+        docs += [" ".join(w[cut:]), " ".join(w[:n - cut]), " ".join(w[:n - cut - 1])]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id bigint, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    want = set()
+    for i, t in enumerate(docs):
+        w = split(t)
+        for k, x in enumerate(map(split, items)):
+            for at in range(-len(x) + 1, len(w)):
+                pairs = [(w[at + j], x[j]) for j in range(len(x)) if 0 <= at + j < len(w)]
+                same = sum(p == q for p, q in pairs)
+                if x and same >= 0.8 * len(x) - 1e-9:
+                    want.add((i, k, max(at, 0), len(pairs), same))
+    for most in (500_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", most)
+        got = {(r.id, r["item"], r.first_word, r.n_words, r.n_same) for r in decontaminate.contaminated(d, b).collect()}
+        assert got == want
