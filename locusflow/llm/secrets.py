@@ -1,4 +1,4 @@
-"""Secret scans: candidates by pattern, judged by how many owners hold the same value across the corpus."""
+"""Secret scans: candidates by pattern, judged by how many repositories and owners hold the same value across the corpus."""
 
 from __future__ import annotations
 
@@ -20,6 +20,7 @@ _HEX = re.compile("[0-9a-f]{16,}")
 # Prefixes that services put before their tokens.
 _ISSUED = re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}|xox[baprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}")
 _OPAQUE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+FEW_REPOS, MAX_REPOS = 5, 100  # documents that may be mirrors of one credential; documents that a few owners' credential may stand in
 _HINTS = ("passw", "secret", "token", "api")
 
 
@@ -83,36 +84,45 @@ def row_key(id_col: str, owner_col: str, text_col: str):
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """For every candidate value: in how many documents (repositories) and with how many owners it stands.
+    """For every candidate value: in how many places, distinct documents (repositories) and with how many owners it stands.
 
-    Counted in two steps, by value and owner and then by value, so that a value copied everywhere is summed before it
-    is shuffled.
+    Counted in three steps, by value and document, by value and owner and then by value, so that a value copied
+    everywhere is summed before it is shuffled. Rows repeated with id, owner and text are one document.
     """
-    each = (found.select("row", "id", "owner", F.explode("found").alias("c")).select("row", "id", "owner", "c.value"))
-    by_owner = each.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("value").agg(F.sum("n").alias("n_places"), F.count(F.lit(1)).alias("n_owners"))
+    each = found.select("row", "owner", F.explode("found").alias("c")).select("row", "owner", "c.value")
+    by_document = each.groupBy("value", "owner", "row").agg(F.count(F.lit(1)).alias("n"))
+    by_owner = by_document.groupBy("value", "owner").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_repos"))
+    return by_owner.groupBy("value").agg(F.sum("n").alias("n_places"), F.sum("n_repos").alias("n_repos"),
+                                         F.count(F.lit(1)).alias("n_owners"))
 
 
-def judged(found: DataFrame, max_owners: int = 3) -> DataFrame:
-    """For every row with candidates: ``verdicts``, the candidates with ``n_owners`` and ``live`` (at most ``max_owners``)."""
+def looks_live(max_owners: int, few_repos: int, max_repos: int):
+    """Held by few documents, whoever owns them (mirrors), or by few owners in not too many documents."""
+    return (F.col("n_repos") <= few_repos) | ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
+
+
+def judged(found: DataFrame, max_owners: int = 3, few_repos: int = FEW_REPOS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """For every row with candidates: ``verdicts``, the candidates with ``n_owners``, ``n_repos`` and ``live``."""
     each = found.select("row", F.explode("found").alias("c")).distinct()
     counts = ownership(found)
+    live = looks_live(max_owners, few_repos, max_repos).alias("live")
     rows = (each.withColumn("value", F.col("c.value")).join(counts, "value")
             .select("row", F.struct(F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.kind").alias("kind"),
-                                    "n_owners", "n_places", (F.col("n_owners") <= max_owners).alias("live")).alias("v")))
+                                    "n_owners", "n_repos", "n_places", live).alias("v")))
     return rows.groupBy("row").agg(F.array_sort(F.collect_list("v")).alias("verdicts"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", text_col: str = "text",
-                 max_owners: int = 3) -> DataFrame:
+                 max_owners: int = 3, few_repos: int = FEW_REPOS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per row of ``docs``: base counts and digest, all ``spans``, ``n_live`` and ``n_example``.
 
-    Base spans and issued tokens always count as found; opaque strings only if at most ``max_owners`` owners hold them.
-    A value held by more owners is a widely copied example (``n_example``), else it looks live (``n_live``). A null text
+    Base spans and issued tokens always count as found; opaque strings only if they look live. A value looks live
+    (``n_live``) if it stands in at most ``few_repos`` documents, or in at most ``max_repos`` of at most ``max_owners``
+    owners; else it is a widely copied example (``n_example``). A null text
     counts as empty, null owners as one owner; repeated rows give repeated rows; other columns are left out.
     """
     found = checkpointed(find_candidates(docs, id_col, owner_col, text_col))
-    verdicts = judged(found.filter(F.size("found") > 0), max_owners)
+    verdicts = judged(found.filter(F.size("found") > 0), max_owners, few_repos, max_repos)
     rank = F.create_map(*[F.lit(x) for k, i in _ORDER.items() for x in (k, i)])
     kept = F.filter("verdicts", lambda v: (v["kind"] != "opaque") | v["live"])
     ordered = F.array_sort(F.transform(kept, lambda v: F.struct(
@@ -126,10 +136,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "sour
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", text_col: str = "text", max_owners: int = 3,
-           mark: str = "[secret]") -> DataFrame:
+           mark: str = "[secret]", few_repos: int = FEW_REPOS, max_repos: int = MAX_REPOS) -> DataFrame:
     """``docs`` with every live-looking value's span replaced by ``mark``; widely copied examples stay. All rows stay."""
     found = checkpointed(find_candidates(docs, id_col, owner_col, text_col).filter(F.size("found") > 0))
-    live = (judged(found, max_owners).select("row", F.filter("verdicts", lambda v: v["live"]).alias("_spans"))
+    live = (judged(found, max_owners, few_repos, max_repos).select("row", F.filter("verdicts", lambda v: v["live"]).alias("_spans"))
             .filter(F.size("_spans") > 0))
     text = F.col(text_col)
     # spans in order; what a span shares with those before it is already gone

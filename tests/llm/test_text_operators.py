@@ -93,6 +93,20 @@ def test_redaction(spark):
     assert got[4].text.endswith(" tail") and "QWERTY" not in got[4].text
 
 
+def test_verdicts_by_documents_and_owners(spark):
+    """An example copied all over one source, a credential mirrored in four, one repeated in few documents, repeated rows."""
+    example, mirrored, own, twice = (f"token={c * 4}1234567890abcd" for c in "wxyz")
+    rows = [(i, f"see {example} {i}", "hot") for i in range(150)] + [(200 + i, f"set {mirrored}", f"s{i}") for i in range(4)]
+    rows += [(300 + i, f"{own} and {own}", "s1") for i in range(20)] + [(400, f"use {twice}", "s2")] * 150
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {(r.doc_id // 100, r.n_live, r.n_example) for r in secrets.scan_secrets(docs).collect()}
+    assert got == {(0, 0, 1), (1, 0, 1), (2, 1, 0), (3, 2, 0), (4, 1, 0)}
+    text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert text[7] == f"see {example} 7" and text[202] == "set [secret]" and text[300] == "[secret] and [secret]" and text[400] == "use [secret]"
+    counts = secrets.ownership(secrets.find_candidates(docs, "doc_id", "source", "text")).collect()
+    assert {(r.n_places, r.n_repos, r.n_owners) for r in counts} == {(150, 150, 1), (4, 4, 4), (40, 20, 1), (150, 1, 1)}
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     weights = quality.fit(docs, labels)
