@@ -8,6 +8,7 @@ chromosome or group, lists of a whole group - is cut into bounded pieces here.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -34,6 +35,38 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+class Landing:
+    """Tables of an iteration, written as Parquet below the checkpoint folder and read back.
+
+    A checkpoint keeps the size estimate of the plan that it cuts, so a state that is joined with something made of itself
+    squares its estimate every round. A landed table has its true size, which joins may plan with. ``drop`` removes a table
+    that no later plan reads, ``close`` all of them; both leave files of others alone.
+    """
+
+    def __init__(self, spark):
+        self.spark, self.folder, self.made = spark, f"{checkpoint_folder(spark)}/landing-{uuid.uuid4().hex}", {}
+
+    def land(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.made[id(out)] = (path, out)
+        return out
+
+    def drop(self, *landed: DataFrame) -> None:
+        for df in landed:
+            path, _ = self.made.pop(id(df))
+            self._remove(path)
+
+    def close(self) -> None:
+        self.made.clear()
+        self._remove(self.folder)
+
+    def _remove(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def same_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """An equi-join on columns of the same names in which NULL equals NULL, so that a run without a tag is a run too."""
     named = right.select(*[F.col(c).alias(f"_same_{c}") if c in on else F.col(c) for c in right.columns])

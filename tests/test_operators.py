@@ -1,7 +1,9 @@
 """Worked examples and brute-force comparisons."""
 
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,42 @@ def test_abundance_estimate_recovers_more_than_the_distinct_lengths(spark):
     assert len(theta) == len(truth) and seen < theta["b"] < 260 and 8 < theta["a"] < 13
 
 
+def plain_abundance(data, rounds=400):
+    """The rounds one after the other, without extrapolation."""
+    sites, lengths = sorted({d[0] for d in data}), sorted({d[1] for d in data})
+    there = np.zeros((len(sites), len(lengths)), bool)
+    for site, length in data:
+        there[sites.index(site), lengths.index(length)] = True
+    e, theta = there.astype(float), there.sum(1).astype(float)
+    for _ in range(rounds):
+        m = theta[:, None] * (e.sum(0) / e.sum())
+        e = np.where(there, m / -np.expm1(-np.where(there, m, 1.0)), 0.0)
+        theta = e.sum(1)
+    return dict(zip(sites, theta, strict=True))
+
+
+def test_abundance_estimate_of_several_runs_settles_where_the_plain_rounds_do(spark, tmp_path):
+    rng = random.Random(9)
+    runs = {}
+    for run, n in (("S1", 60), ("S2", 25), (None, 10)):
+        runs[run] = sorted({(f"s{i}", 30 + int(rng.gammavariate(3, 9))) for i in range(n) for _ in range(rng.choice([1, 2, 5, 40]))})
+    data = [(run, "T", site, length, 20) for run, rows in runs.items() for site, length in rows]
+    df = spark.createDataFrame(data, "sample string, tag string, is_id string, size int, n_reads bigint")
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        got = {(r.sample, r.is_id): r for r in fr.estimate_abundance(df, iterations=200, tol=1e-8).collect()}
+        folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        assert not [f for f in os.listdir(folder) if f.startswith("landing")]
+        assert fr.estimate_abundance(df.limit(0)).count() == 0
+    finally:
+        if before:
+            spark.sparkContext.setCheckpointDir(before)
+    want = {(run, site): theta for run, rows in runs.items() for site, theta in plain_abundance(rows).items()}
+    assert got.keys() == want.keys()
+    assert all(r.converged and abs(r.theta - want[k]) <= 1e-5 * want[k] for k, r in got.items())
+
+
 # ---- alignments --------------------------------------------------------------------------------
 
 
