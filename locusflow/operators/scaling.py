@@ -74,14 +74,14 @@ def same_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     return left.join(named, meets, how).drop(*[f"_same_{c}" for c in on])
 
 
-_FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
+_FOLD = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
 _UNBOUNDED = {"upto": (W.unboundedPreceding, 0), "before": (W.unboundedPreceding, -1), "after": (1, W.unboundedFollowing)}
 
 
 def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, scans: dict) -> DataFrame:
     """Running aggregates within ``keys`` in ``order``, computed tile by tile.
 
-    ``scans`` maps an output column to ``(fold, value, reach)`` with fold ``sum|max|min`` and reach
+    ``scans`` maps an output column to ``(fold, value, reach)`` with fold ``sum|max|min|xor`` and reach
     ``upto`` (rows up to and including this one), ``before`` or ``after``. ``tile`` must not decrease in
     ``order``. Each ``(keys, tile)`` group is one window partition and the tile totals are carried in a
     second, much smaller window, so no task ever sorts a whole key. Without ``tile`` the window runs over
@@ -107,6 +107,8 @@ def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, sc
     for out, (fold, _, _) in scans.items():
         if fold == "sum":
             both[out] = F.coalesce(F.col(out), F.lit(0)) + F.coalesce(F.col(f"_c_{out}"), F.lit(0))
+        elif fold == "xor":
+            both[out] = F.coalesce(F.col(out), F.lit(0)).bitwiseXOR(F.coalesce(F.col(f"_c_{out}"), F.lit(0)))
         else:
             both[out] = (F.greatest if fold == "max" else F.least)(F.col(out), F.col(f"_c_{out}"))
     return joined.withColumns(both).drop(*[f"_c_{out}" for out in scans])
