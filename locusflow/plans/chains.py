@@ -49,7 +49,7 @@ def pair_branch(aln: DataFrame) -> tuple[DataFrame, DataFrame]:
             al.alignment_to_read(routed.filter(F.col("route") == "rescue")))
 
 
-def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, genome: DataFrame, index: DataFrame,
+def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, index: lc.GenomeIndex,
                    adapters: AdapterSet = AdapterSet()) -> SiteTables:
     """Read pairs of any number of samples -> qualitative and quantitative site tables.
 
@@ -66,11 +66,11 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, genome: DataFra
     without = by_r2.filter("NOT matched").drop("matched")
 
     unique = rd.min_length(rd.collapse_reads(rd.single_reads(with_r1), 1))
-    r1_aln = checkpointed(lc.locate_reads(unique, genome, index))
+    r1_aln = checkpointed(lc.locate_reads(unique, index))
     r1_obs = r1_branch(r1_aln)
 
     ready = rd.min_length(rd.trim_r2_tail(with_r2, adapters), 20, mates="any")
-    pair_aln = checkpointed(lc.locate_pairs(ready, genome, index))
+    pair_aln = checkpointed(lc.locate_pairs(ready, index))
     confident, rescued = pair_branch(pair_aln)
     pair_by_size = st.collapse_by_size(st.pair_insertion_point(confident), count_rows=True)
 
@@ -78,7 +78,7 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, genome: DataFra
     left_over = rd.residual_reads(no_linker=rd.single_reads(without), rescued=rescued, unaligned_pair=rd.single_reads(unplaced),
                                   unmapped=lc.unlocated(unique, r1_aln).withColumnRenamed("qname", "read_id"))
     residual = rd.collapse_reads(rd.min_length(rd.cut_reads(left_over)))
-    residual_obs = residual_branch(checkpointed(lc.locate_reads(residual, genome, index, trim3=5)))
+    residual_obs = residual_branch(checkpointed(lc.locate_reads(residual, index, trim3=5)))
 
     collapse = lambda obs: st.collapse_sites(st.collapse_by_size(obs))
     qualitative = st.qual_is(collapse(r1_obs), collapse(residual_obs), st.collapse_sites(pair_by_size))

@@ -63,7 +63,7 @@ def run(spark):
 @pytest.fixture(scope="module")
 def tables(run):
     reads, barcodes, table, _ = run
-    return chains.reads_to_sites(reads, barcodes, table, lc.kmer_index(table))
+    return chains.reads_to_sites(reads, barcodes, lc.genome_index(table))
 
 
 def test_sites_of_all_three_branches_are_found(run, tables):

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -343,7 +344,14 @@ def _brute_hits(genome, read):
     return sorted(out)
 
 
-def test_location_finds_every_accepted_placement(spark):
+def stored(spark, table, folder, monkeypatch):
+    """A stored index in which repeated seeds lie in several parts."""
+    monkeypatch.setattr(lc, "HOT", 7)
+    return lc.store_index(table, str(folder / "index"), buckets=5, chunk=128)
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_location_finds_every_accepted_placement(spark, tmp_path, monkeypatch, kept):
     rng = random.Random(11)
     unit = "".join(rng.choice("ACGT") for _ in range(150))
     near = unit[:70] + ("A" if unit[70] != "A" else "C") + unit[71:]
@@ -363,14 +371,14 @@ def test_location_finds_every_accepted_placement(spark):
     reads |= {f"short{n}": genome["g1"][200 + n:200 + 2 * n] for n in (15, 16, 17, 18)}
     reads |= {"long": genome["g1"][100:500], "long_off": "A" + genome["g1"][301:641].translate(comp)[::-1]}
     table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 128)
-    index = lc.kmer_index(table)
+    index = stored(spark, table, tmp_path, monkeypatch) if kept else lc.genome_index(table, 128)
     df = spark.createDataFrame(list(reads.items()), "qname string, seq string").withColumn("n_reads", F.lit(2))
     found = {}
-    for r in lc.all_hits(df, table, index, chunk=128).collect():
+    for r in lc.all_hits(df, index).collect():
         found.setdefault(r.qname, []).append((r.strand, r.chrom, r.start0, r.as_score))
     want = {n: _brute_hits(genome, s) for n, s in reads.items()}
     assert {n: sorted(h) for n, h in found.items()} == {n: h for n, h in want.items() if h}
-    best = {r.qname: r for r in lc.locate_reads(df, table, index, chunk=128).collect()}
+    best = {r.qname: r for r in lc.locate_reads(df, index).collect()}
     for name, hits in want.items():
         if hits:
             scores = sorted((h[3] for h in hits), reverse=True)
@@ -387,7 +395,7 @@ def test_runs_without_a_tag_are_runs(spark):
     table = gn.chunked(spark.createDataFrame([("g", genome)], "chrom string, seq string"), 128)
     df = spark.createDataFrame([("s", None, "r", genome[50:110], 2), (None, "t", "r", genome[90:150], 1)],
                                "sample string, tag string, qname string, seq string, n_reads long")
-    got = lc.locate_reads(df, table, lc.kmer_index(table), chunk=128)
+    got = lc.locate_reads(df, lc.genome_index(table, 128))
     assert {(r.sample, r.tag, r.pos1) for r in got.collect()} == {("s", None, 51), (None, "t", 91)}
     assert lc.unlocated(df, got).isEmpty()
 
@@ -403,10 +411,77 @@ def test_pairs_are_located_within_the_fragment_range(spark):
     df = spark.createDataFrame([(k, a, b) for k, (a, b) in pairs.items()], "read_id string, r1_seq string, r2_seq string")
     df = df.withColumns({f"{m}_qual": F.repeat(F.lit("I"), F.length(f"{m}_seq")) for m in ("r1", "r2")})
     table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 512)
-    got = sorted((r.qname, r.flag, r.pos1) for r in lc.locate_pairs(df, table, lc.kmer_index(table), chunk=512).collect())
+    got = sorted((r.qname, r.flag, r.pos1) for r in lc.locate_pairs(df, lc.genome_index(table, 512)).collect())
     assert got == [("minus", 83, 2351), ("minus", 163, 2101), ("plus", 99, 101), ("plus", 147, 351)]
 
 
+def test_stored_index_is_opened_again_and_never_shuffled(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    genome = "".join(rng.choice("ACGT") for _ in range(3000)) + "A" * 400
+    table = gn.chunked(spark.createDataFrame([("g", genome)], "chrom string, seq string"), 128)
+    stored(spark, table, tmp_path, monkeypatch)
+    index = lc.open_index(spark, str(tmp_path / "index"))
+    assert index.hot.filter("parts > 1").count() == 2 and index.seeds.count() == 2 * 3400 - 18 - 14
+    reads = spark.createDataFrame([(f"r{i}", genome[i:i + 60], 1) for i in range(0, 2900, 50)], "qname string, seq string, n_reads long")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = lc.locate_reads(reads, index)
+        plan = placed._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert sorted((r.qname, r.pos1) for r in placed.collect()) == sorted((f"r{i}", i + 1) for i in range(0, 2900, 50))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    depth = [re.match(r"[ :]*([+:]- )?", x).end() for x in plan]
+    scans = [i for i, x in enumerate(plan) if "FileScan" in x and (".seeds_" in x or ".chunks_" in x)]
+    assert len(scans) >= 2 and not any("regexp_extract_all" in x for x in plan)
+    for i in scans:
+        for j in range(i, -1, -1):  # up to the join that reads the table
+            if depth[j] < depth[i] and "Join" in plan[j]:
+                break
+            assert not (depth[j] < min(depth[j + 1:i + 1], default=99) and "Exchange" in plan[j]), plan[j]
+
+
+def _brute_pair(genome, one, two, least, most):
+    """Best concordant placement of two mates by all of their placements."""
+    found = []
+    for a in _brute_hits(genome, one):
+        for b in _brute_hits(genome, two):
+            ends = (a[2] + len(one), b[2] + len(two))
+            if a[1] == b[1] and a[0] != b[0] and least <= max(ends) - min(a[2], b[2]) <= most:
+                found.append((-(a[3] + b[3]), a[1], a[2], b[2], a[0]))
+    return min(found, default=None)
+
+
+def test_pairs_in_repeats_like_all_pairs_of_placements(spark, monkeypatch):
+    monkeypatch.setattr(lc, "PAIRS_AT_ONCE", 50)
+    rng = random.Random(31)
+    comp = str.maketrans("ACGT", "TGCA")
+    unit = "".join(rng.choice("ACGT") for _ in range(60))
+    genome = {"g1": unit * 25 + "".join(rng.choice("ACGT") for _ in range(400)), "g2": "".join(rng.choice("ACGT") for _ in range(300)) + unit * 9}
+    pairs = []
+    for i in range(30):
+        c = rng.choice(list(genome))
+        p = rng.randrange(len(genome[c]) - 200)
+        one, two = genome[c][p:p + 45], genome[c][p + 90:p + 140].translate(comp)[::-1]
+        pairs.append((f"p{i}", *((one, two) if i % 2 else (two, one))))
+    pairs += [("same", unit[:40], unit[20:60]), ("far", genome["g1"][:40], genome["g2"][:40].translate(comp)[::-1]), ("none", "ACGT" * 10, "TTGA" * 10)]
+    df = spark.createDataFrame(pairs, "read_id string, r1_seq string, r2_seq string").withColumns({f"{m}_qual": F.lit(None).cast("string") for m in ("r1", "r2")})
+    table = gn.chunked(spark.createDataFrame(list(genome.items()), "chrom string, seq string"), 256)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # placements of a read come in many batches
+    try:
+        got = lc.locate_pairs(df, lc.genome_index(table, 256), 30, 180, trim3=0).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {n: _brute_pair(genome, a, b, 30, 180) for n, a, b in pairs}
+    place = {(r.qname, r.flag >= 128): (r.chrom, r.pos1 - 1) for r in got}
+    assert {k[0] for k in place} == {n for n, w in want.items() if w}
+    for n, w in want.items():
+        if w:
+            assert (place[n, False], place[n, True]) == ((w[1], w[2]), (w[1], w[3]))
+
+
 def test_intron_of_an_unnamed_gene_is_intronic(spark):
     from locusflow.operators import annotate
 
