@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import unicodedata
 
 import regex
@@ -39,16 +40,23 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class Tier(dict):
-    """A bounded lookup: a missing key is computed, and kept while there is room; when full it starts again from ``base``."""
+    """A bounded lookup of two generations: a missing key is looked for among the older ones, else computed.
 
-    def __init__(self, compute, base: dict | None = None, limit: int = 250_000, longest: int = 64):
+    When the younger generation is full it becomes the older one, so that what is in use stays and no more than twice
+    ``limit`` entries are held; ``base`` is always there.
+    """
+
+    def __init__(self, compute, base: dict | None = None, limit: int = 400_000, longest: int = 64):
         super().__init__(base or {})
-        self.compute, self.base, self.limit, self.longest = compute, base or {}, limit, longest
+        self.compute, self.base, self.limit, self.longest, self.older = compute, base or {}, limit, longest, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit + len(self.base):
+                self.older = dict(self)
                 self.clear()
                 self.update(self.base)
             self[key] = value
@@ -71,19 +79,25 @@ class TwoTier:
         self.pattern = regex.compile(BYTE_PATTERN if kind == "byte" else WORD_PATTERN)
         self.alphabet = byte_alphabet()
         self.fold = b"".join if as_ids else sum
-        self.pieces = Tier(self._piece)
+        self.tokenize, self.findall, self.blank = self.library.model.tokenize, self.pattern.findall, self.alphabet[32]
         self.chunks = Tier(self._chunk, frequent)
+        # a word piece is a chunk too; byte-level pieces hold the space before them
+        self.pieces = self.chunks if kind == "word" else Tier(self._piece)
 
     def _value(self, ids):
-        return b"".join(i.to_bytes(4, "little") for i in ids) if self.as_ids else len(ids)
+        return struct.pack(f"<{len(ids)}I", *ids) if self.as_ids else len(ids)
 
     def _piece(self, piece: str):
-        tokens = self.library.model.tokenize(piece.encode().decode("latin-1").translate(self.alphabet))
-        return self._value([t.id for t in tokens])
+        if piece.isascii() and piece.isprintable():  # these stand for themselves, but for the space
+            shown = piece.replace(" ", self.blank)
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.alphabet)
+        found = self.tokenize(shown)
+        return self._value([t.id for t in found]) if self.as_ids else len(found)
 
     def _chunk(self, chunk: str):
         """``chunk`` follows a space that it doesn't hold; byte-level chunks after a line break hold the break."""
-        if _UNCHECKED.search(chunk):
+        if not (chunk.isascii() and chunk.isprintable()) and _UNCHECKED.search(chunk):
             raise Whole
         if self.kind == "byte":
             inner = chunk[1:] if chunk[:1] == "\n" else chunk
@@ -91,7 +105,13 @@ class TwoTier:
                 raise Whole
             if chunk[0] != "\n":
                 chunk = " " + chunk
-        return self.fold(map(self.pieces.__getitem__, self.pattern.findall(chunk)))
+        if self.kind == "word" and chunk.isalpha():  # letters, perhaps with one mark behind them, need no pattern
+            return self._piece(chunk)
+        if self.kind == "word" and chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            found = [chunk[:-1], chunk[-1]]
+        else:
+            found = self.findall(chunk)
+        return self._piece(found[0]) if len(found) == 1 else self.fold(map(self.pieces.__getitem__, found))
 
     def _cut(self, text: str) -> list[str]:
         if self.kind == "byte":
@@ -113,7 +133,7 @@ class TwoTier:
                 head, rest = chunks[0], chunks[1:]
                 if not head or _UNCHECKED.search(head) or head[0].isspace() or head[-1].isspace():
                     raise Whole
-                first = self.fold(map(self.pieces.__getitem__, self.pattern.findall(head)))
+                first = self.fold(map(self.pieces.__getitem__, self.findall(head)))
                 return first + self.fold(map(self.chunks.__getitem__, rest))
             except Whole:
                 pass
