@@ -116,6 +116,8 @@ FX_READS = tuple(_READ_SELECT.format(pieces=p) for p in _PIECES)
 _DIGIT = "substr('ACGT', CAST(floor((n_nationkey * 157 + 27) / {p}) AS INT) % 4 + 1, 1)"
 FX_BARCODES = ("SELECT 'T' || CAST(n_nationkey AS STRING) AS tag, "
                + " || ".join(_DIGIT.format(p=4 ** i) for i in reversed(range(6))) + " AS barcode FROM nation")
+# some barcodes have two bases more
+FX_LONG_BARCODES = f"{FX_BARCODES} UNION ALL SELECT 'L' || substr(tag, 2, 9), barcode || 'CT' FROM ({FX_BARCODES}) b WHERE CAST(substr(tag, 2, 9) AS INT) % 3 = 0"
 
 # the letters of every text are one contig
 FX_CONTIGS = (f"SELECT 'doc' || CAST(doc_id AS STRING) AS chrom, {_LETTERS_SPARK} AS seq FROM documents",
@@ -127,7 +129,7 @@ _TABLES = ("region nation customer supplier part orders lineitem events document
 VIEWS: dict[str, str | tuple[str, str]] = {
     "fx_sizes": FX_SIZES, "fx_obs": FX_OBS, "fx_sites": FX_SITES, "fx_tx": FX_TX, "fx_genes": FX_GENES,
     "fx_signal": FX_SIGNAL, "fx_aln": FX_ALN, "fx_pair_aln": FX_PAIR_ALN, "fx_pieces": _PIECES,
-    "fx_reads": FX_READS, "fx_barcodes": FX_BARCODES, "fx_contigs": FX_CONTIGS,
+    "fx_reads": FX_READS, "fx_barcodes": FX_BARCODES, "fx_long_barcodes": FX_LONG_BARCODES, "fx_contigs": FX_CONTIGS,
 }
 
 

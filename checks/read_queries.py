@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import duck, view
 from checks.registry import query
-from locusflow.operators import align as al, reads as rd
+from locusflow.operators import align as al, funnel as fn, reads as rd
 from locusflow.schema import AdapterSet
 
 A = AdapterSet()
@@ -130,24 +130,26 @@ def residual_reads(spark, d):
 
 
 _DEMUX = """
-WITH h AS (SELECT r.read_id, b.tag, hamming(substr(r1_seq, 1, 6), barcode) AS mm FROM fx_reads r, fx_barcodes b WHERE length(r1_seq) >= 6),
-n AS (SELECT *, lead(mm) OVER (PARTITION BY read_id ORDER BY mm, tag) AS nxt, row_number() OVER (PARTITION BY read_id ORDER BY mm, tag) AS rk FROM h),
-ok AS (SELECT read_id, tag, mm FROM n WHERE rk = 1 AND mm <= 1 AND (nxt IS NULL OR nxt >= mm + 2)),
+WITH h AS (SELECT r.read_id, b.tag, length(barcode) AS n, hamming(substr(r1_seq, 1, length(barcode)), barcode) AS mm
+           FROM fx_reads r JOIN fx_long_barcodes b ON length(r1_seq) >= length(barcode)),
+n AS (SELECT *, lead(mm) OVER (PARTITION BY read_id, n ORDER BY mm, tag) AS nxt, row_number() OVER (PARTITION BY read_id, n ORDER BY mm, tag) AS rk FROM h),
+ok AS (SELECT read_id, tag, mm FROM n WHERE rk = 1 AND mm <= 1 AND (nxt IS NULL OR nxt >= mm + 2) QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY n DESC) = 1),
 dm AS (SELECT r.sample, r.read_id, coalesce(ok.tag, 'unmatched') AS tag, CAST(ok.mm AS INT) AS barcode_mm FROM fx_reads r LEFT JOIN ok USING (read_id))"""
 
 
 def _demux(spark, d):
-    return rd.demultiplex(_reads(spark, d), view(spark, d, "fx_barcodes"))
+    """Barcodes of six and of eight bases."""
+    return rd.demultiplex(_reads(spark, d), view(spark, d, "fx_long_barcodes"))
 
 
-@query("demultiplexed", duck(_DEMUX + " SELECT * FROM dm", "fx_reads", "fx_barcodes"))
+@query("demultiplexed", duck(_DEMUX + " SELECT * FROM dm", "fx_reads", "fx_long_barcodes"))
 def demultiplexed(spark, d):
     return _demux(spark, d).select("sample", "read_id", "tag", "barcode_mm")
 
 
 @query("demux_counts", duck(_DEMUX + """,
 c AS (SELECT sample, coalesce(tag, 'total') AS tag, count(*) AS reads FROM dm GROUP BY GROUPING SETS ((sample, tag), (sample)))
-SELECT *, round(100.0 * reads / sum(reads) FILTER (tag <> 'total') OVER (PARTITION BY sample), 6) AS percent FROM c""", "fx_reads", "fx_barcodes"))
+SELECT *, round(100.0 * reads / sum(reads) FILTER (tag <> 'total') OVER (PARTITION BY sample), 6) AS percent FROM c""", "fx_reads", "fx_long_barcodes"))
 def demux_counts(spark, d):
     return rd.demux_counts(_demux(spark, d)).withColumn("percent", F.round("percent", 6))
 
@@ -161,3 +163,37 @@ SELECT sample, tag, count(*) AS reads, min(length(r1_seq)) AS len_min, max(lengt
     + " FROM fx_reads GROUP BY sample, tag", "fx_reads"))
 def read_statistics(spark, d):
     return al.fastq_stats(rd.single_reads(_reads(spark, d))).withColumns({c: F.round(c, 6) for c in ("len_mean", "qual_mean")})
+
+
+_CUT_BEHIND = "* EXCLUDE (m_start, m_stop) REPLACE (substr(r1_seq, m_stop + 1) AS r1_seq, substr(r1_qual, m_stop + 1) AS r1_qual)"
+_ROUTED = f"""
+WITH {_PROV}, p0 AS (SELECT * EXCLUDE (m_start, m_stop) FROM prov WHERE m_start IS NULL),
+{_matched("t1", "p0", "r1", A.ltr, "5p", 23, 0.1)}, p1 AS (SELECT {_CUT_BEHIND} FROM t1 WHERE m_stop IS NOT NULL),
+{_matched("t2", "p1", "r1", A.elongation, "5p", 43, 0.16)}, p2 AS (SELECT {_CUT_BEHIND} FROM t2 WHERE m_stop IS NOT NULL),
+p3 AS (SELECT * REPLACE (substr(r1_seq, 4) AS r1_seq, substr(r1_qual, 4) AS r1_qual) FROM p2 WHERE r1_seq LIKE 'GCA%'),
+{_matched("t3", "p3", "r1", A.linker_r1, "3p", 8, 0.2)}, p4 AS (SELECT * EXCLUDE (m_start, m_stop) FROM t3 WHERE m_start IS NULL),
+{_matched("t4", "p4", "r2", A.linker_r2, "5p", 20, 0.16)},
+routed AS (SELECT r.sample, r.tag, r.read_id,
+        CASE WHEN p0.read_id IS NULL THEN 'provirus' WHEN p1.read_id IS NULL THEN 'no_ltr' WHEN p2.read_id IS NULL THEN 'no_elongation'
+             WHEN p3.read_id IS NULL THEN 'no_prefix' WHEN t3.m_start IS NOT NULL THEN 'linker_r1' WHEN t4.m_start IS NOT NULL THEN 'linker_r2' ELSE 'no_linker' END AS outcome,
+        substr(coalesce(p3.r1_seq, p2.r1_seq, p1.r1_seq, r.r1_seq), 1, coalesce(t3.m_start, length(r.r1_seq))) AS r1_seq,
+        substr(coalesce(p3.r1_qual, p2.r1_qual, p1.r1_qual, r.r1_qual), 1, coalesce(t3.m_start, length(r.r1_seq))) AS r1_qual,
+        substr(r.r2_seq, coalesce(t4.m_stop, 0) + 1) AS r2_seq, substr(r.r2_qual, coalesce(t4.m_stop, 0) + 1) AS r2_qual
+    FROM fx_reads r LEFT JOIN p0 USING (read_id) LEFT JOIN p1 USING (read_id) LEFT JOIN p2 USING (read_id) LEFT JOIN p3 USING (read_id)
+         LEFT JOIN t3 USING (read_id) LEFT JOIN t4 USING (read_id))"""
+
+
+@query("routed_reads", duck(_ROUTED + " SELECT * FROM routed", "fx_reads"))
+def routed_reads(spark, d):
+    return rd.route_reads(_reads(spark, d))
+
+
+_STAGE_VALUES = ", ".join(f"('{stage}', '{outcome}')" for stage, kept in fn._TRIMMING.items() for outcome in kept)
+
+
+@query("trimming_counts", duck(_ROUTED + f""", s(stage, outcome) AS (VALUES {_STAGE_VALUES}),
+runs AS (SELECT DISTINCT sample, tag FROM fx_reads)
+SELECT sample, tag, stage, (SELECT count(*) FROM routed r JOIN s ON r.outcome = s.outcome WHERE s.stage = x.stage AND r.sample = runs.sample AND r.tag = runs.tag) AS reads
+FROM runs, (SELECT DISTINCT stage FROM s) x""", "fx_reads"))
+def trimming_counts(spark, d):
+    return fn.trimming_counts(rd.route_reads(_reads(spark, d)))

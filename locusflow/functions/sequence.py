@@ -71,10 +71,11 @@ def adapter_match(seq, adapter: str, end: str, min_overlap: int, error_rate: flo
 
     def find(batches):
         for series in batches:
-            texts = [(t or "").encode() for t in series]
-            start = np.full(len(texts), -1, dtype=np.int32)
-            stop = np.full(len(texts), -1, dtype=np.int32)
-            errors = np.full(len(texts), -1, dtype=np.int32)
+            given = [(t or "").encode() for t in series]
+            asked = np.array([i for i, t in enumerate(given) if t], dtype=np.int64)  # rows without a text cost nothing
+            texts = [given[i] for i in asked]
+            all_rows = np.full((3, len(given)), -1, dtype=np.int32)
+            start, stop, errors = np.full((3, len(texts)), -1, dtype=np.int32)
             for lo, hi, width, block in _byte_rows(texts, left, right):
                 lengths = np.array([len(t) for t in texts[lo:hi]], dtype=np.int32)
                 places = left + width
@@ -97,7 +98,8 @@ def adapter_match(seq, adapter: str, end: str, min_overlap: int, error_rate: flo
                 start[lo:hi] = np.where(found, first, -1)
                 stop[lo:hi] = np.where(found, first + overlap[rows, best], -1)
                 errors[lo:hi] = np.where(found, wrong[rows, best], -1)
-            yield pd.DataFrame({"start": start, "stop": stop, "errors": errors})
+            all_rows[:, asked] = start, stop, errors
+            yield pd.DataFrame(dict(zip(("start", "stop", "errors"), all_rows, strict=True)))
 
     # the iterator form is told apart by its type hints, set here to keep them real types
     from collections.abc import Iterator

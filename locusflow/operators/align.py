@@ -21,9 +21,14 @@ def _early_mismatch(forward: int, reverse: int) -> Column:
             | ((F.col("flag") == reverse) & F.col("md").rlike(MISMATCH_TAIL)))
 
 
+def is_exact() -> Column:
+    """A single-read alignment without a mismatch in the three bases at the junction."""
+    return F.col("flag").isin(0, 16) & ~_early_mismatch(0, 16)
+
+
 def exact_junction(aln: DataFrame) -> DataFrame:
     """Single-read alignments without a mismatch in the three bases at the junction; other flags are dropped."""
-    return aln.filter(F.col("flag").isin(0, 16) & ~_early_mismatch(0, 16))
+    return aln.filter(is_exact())
 
 
 def flag_junction(aln: DataFrame) -> DataFrame:
@@ -31,19 +36,20 @@ def flag_junction(aln: DataFrame) -> DataFrame:
     return aln.withColumn("mismatch", _early_mismatch(99, 83))
 
 
-def _unique(margin: int) -> Column:
+def is_unique(margin: int = 8) -> Column:
+    """No second hit, or one worse by more than ``margin`` (by any amount below a perfect hit)."""
     best, second = F.abs("as_score"), F.abs("xs_score")
     return F.coalesce(((F.col("as_score") == 0) & (second > 0)) | (best + margin < second), F.lit(True))
 
 
 def unique_hit(aln: DataFrame, margin: int = 8) -> DataFrame:
     """Keep reads with no second hit, or one worse by more than ``margin`` (by any amount below a perfect hit)."""
-    return aln.filter(_unique(margin))
+    return aln.filter(is_unique(margin))
 
 
 def flag_multihit(aln: DataFrame, margin: int = 8) -> DataFrame:
     """Add ``multihit``: the opposite of ``unique_hit``."""
-    return aln.withColumn("multihit", ~_unique(margin))
+    return aln.withColumn("multihit", ~is_unique(margin))
 
 
 def min_mapq(aln: DataFrame, q: int) -> DataFrame:

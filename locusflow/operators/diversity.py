@@ -7,6 +7,7 @@ where a run has very many sites.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -234,16 +235,30 @@ def broken_stick(freq: DataFrame) -> DataFrame:
                        stick("last_rank").alias("expected_last"))
 
 
-def rarefaction(freq: DataFrame, step: int = 1000) -> DataFrame:
-    """Expected number of sites in subsamples of 1, 1+step, ... and all n fragments."""
+def rarefaction(freq: DataFrame, step: int = 1000, points: int | None = None, error: float = 1e-12) -> DataFrame:
+    """Expected number of sites in subsamples of 1, 1+step, ... and all n fragments.
+
+    With ``points`` the step grows with n, so that a run has about so many subsamples at most. A site of k fragments is
+    missed by m of n with a chance of at most exp(-k m / n). Where this is below ``error`` the site counts as found, so each
+    abundance meets only the subsamples that may miss it: about ln(1 / error) / k of them all. The result is off by less
+    than ``error`` times the number of sites.
+    """
+    runs = run_keys(freq)
     rows = _with_moments(freq)
-    sizes = F.array_distinct(F.concat(F.sequence(F.lit(1).cast("bigint"), F.col("n"), F.lit(step).cast("bigint")), F.array("n")))
-    k, n, m = F.col("k"), F.col("n"), F.col("m")
+    k, n, m, f = F.col("k"), F.col("n"), F.col("m"), F.col("f")
+    size = F.lit(step).cast("bigint")
+    size = size if points is None else F.greatest(size, F.ceil(n / points).cast("bigint"))
+    one = F.lit(1).cast("bigint")
+    grid = lambda last: F.filter(F.array_distinct(F.concat(F.sequence(one, last, size), F.array(n))), lambda x: x <= last)
+    reach = F.least(n, F.floor(-math.log(error) * n / k).cast("bigint"))
     # ln C(n-k, m) - ln C(n, m); the part without m is computed once per abundance
     fixed = lgamma(n - k + 1) - lgamma(n + 1)
     missed = F.when(n - k < m, 0.0).otherwise(F.exp(F.col("_fixed") + lgamma(n - m + 1) - lgamma(n - k - m + 1)))
-    return (rows.withColumn("_fixed", fixed).withColumn("m", F.explode(sizes)).groupBy(*run_keys(freq), "m")
-            .agg(F.sum(F.col("f") * (1 - missed)).alias("expected_sites")))
+    lost = (rows.withColumn("_fixed", fixed).withColumn("_reach", reach).filter("_reach >= 1").withColumn("m", F.explode(grid(F.col("_reach"))))
+            .groupBy(*runs, "m").agg(F.sum(f * missed).alias("_lost")))
+    asked = (rows.groupBy(*runs, "n").agg(F.sum("f").alias("_sites")).withColumn("m", F.explode(grid(n))))
+    return (same_join(asked, lost, [*runs, "m"], "left")
+            .select(*runs, "m", (F.col("_sites") - F.coalesce("_lost", F.lit(0.0))).alias("expected_sites")))
 
 
 def site_matrix(abundance: DataFrame, value: str, runs: list[str]) -> DataFrame:

@@ -4,17 +4,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from locusflow.schema import run_keys
+from locusflow.operators.reads import OUTCOMES
 from locusflow.operators.scaling import checkpointed, same_join
+from locusflow.schema import run_keys
+
+
+def stack_stages(*tables: DataFrame) -> DataFrame:
+    """Stage counts of several tables as one."""
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), tables)
 
 
 def stage_counts(**stages: DataFrame) -> DataFrame:
     """Rows per run and stage; the stage is named by the argument."""
-    counted = [df.groupBy(*run_keys(df)).agg(F.count(F.lit(1)).alias("reads")).withColumn("stage", F.lit(name))
-               for name, df in stages.items()]
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), counted)
+    return stack_stages(*[df.groupBy(*run_keys(df)).agg(F.count(F.lit(1)).alias("reads")).withColumn("stage", F.lit(name))
+                          for name, df in stages.items()])
+
+
+def stage_flags(df: DataFrame, **stages: Column) -> DataFrame:
+    """Rows per run for which each stage's condition holds, in one pass; the stage is named by the argument."""
+    runs = run_keys(df)
+    counted = df.groupBy(*runs).agg(*[F.count_if(c).alias(name) for name, c in stages.items()])
+    named = F.explode(F.array(*[F.struct(F.lit(name).alias("stage"), F.col(name).alias("reads")) for name in stages])).alias("x")
+    return counted.select(*runs, named).select(*runs, "x.reads", "x.stage")
+
+
+# Stages of the trimming and the outcomes that a pair has if it is counted there.
+_TRIMMING = {"R1_raw": OUTCOMES, "R1_provirus": OUTCOMES[:1], "R1_noProvirus": OUTCOMES[1:], "R1_noLTR": OUTCOMES[1:2], "R1_LTR": OUTCOMES[2:],
+             "R1_noElongation": OUTCOMES[2:3], "R1_elongation": OUTCOMES[3:], "R1_noPrefix": OUTCOMES[3:4], "R1_trimmed": OUTCOMES[4:],
+             "R1_linker": OUTCOMES[4:5], "R1_linkerR2": OUTCOMES[5:6], "R1_noLinker": OUTCOMES[6:]}
+
+
+def trimming_counts(routed: DataFrame) -> DataFrame:
+    """Pairs at every stage of the trimming, from the outcomes that ``route_reads`` gives."""
+    return stage_flags(routed, **{name: F.col("outcome").isin(*kept) for name, kept in _TRIMMING.items()})
 
 
 def describe_stages(counts: DataFrame, dim: DataFrame) -> DataFrame:
@@ -46,7 +70,7 @@ def funnel(counts: DataFrame, dim: DataFrame, root: str = "R1_raw") -> DataFrame
 
 
 # Outcome words at the end of a stage description, and the descriptions shown in the report.
-OUTCOMES = "(Negative|Positive|mapped|unmapped|2short|filtered)$"
+OUTCOME_WORDS = "(Negative|Positive|mapped|unmapped|2short|filtered)$"
 REPORTED = "^R1|^Qua"
 READ_STEPS = "^0[0-9]"
 
@@ -54,7 +78,7 @@ READ_STEPS = "^0[0-9]"
 def stage_outcomes(rows: DataFrame) -> DataFrame:
     """Reads per processing step and outcome of R1 stages."""
     kept = rows.filter(F.col("step").rlike(READ_STEPS) & F.col("description").rlike("^R1"))
-    return (kept.withColumn("outcome", F.regexp_extract("description", OUTCOMES, 1))
+    return (kept.withColumn("outcome", F.regexp_extract("description", OUTCOME_WORDS, 1))
             .groupBy(*run_keys(rows), "step", "outcome").agg(F.sum("reads").alias("reads")))
 
 

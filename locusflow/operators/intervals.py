@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from locusflow.operators.scaling import same_join, tiled_scan
+from locusflow.operators.scaling import same_join, tiled_scan, whole_rows
 from locusflow.schema import PROMOTER_TIERS, SPAN, WINDOWS, run_keys
 
 BIN = 16_384  # bin width of the overlap join, bp
@@ -194,7 +194,7 @@ def span_profile(spans: DataFrame, b: DataFrame) -> DataFrame:
                .select("chrom", F.col("q.pos").alias("pos"), F.lit(1).alias("rank"), F.lit(0).cast("bigint").alias("m"),
                        F.col("q.ask").alias("ask"), "start0", "end0"))
     # at one position: ends (0) come before the questions (1), starts (2) after them
-    rows = queries.unionByName(events, allowMissingColumns=True)
+    rows = queries.unionByName(events, allowMissingColumns=True).filter("chrom IS NOT NULL")
     rows = rows.withColumn("_tile", F.floor(F.col("pos") / F.lit(TILE)))
     scanned = tiled_scan(rows, ["chrom"], "_tile", ["pos", "rank"], {
         "ends": ("sum", F.when(F.col("rank") == 0, F.col("m")), "before"),
@@ -289,15 +289,26 @@ def islands(df: DataFrame, max_gap: int = -1, stranded: bool = True) -> DataFram
 
     An interval opens a cluster unless it begins at most ``max_gap`` bp after the furthest end so far;
     ``-1`` asks for a shared base, ``0`` also joins adjacent intervals.
+
+    A start that opens a cluster as far as its own tile tells does so unless the end carried from the tiles before
+    reaches it. Of the openings up to a row the last is reached last, so each row and each tile needs its last one only.
     """
     keys = [*run_keys(df), "chrom", *(["strand"] if stranded else [])]
+    parts = [*keys, "_tile"]
     starts = (df.groupBy(*keys, "start0").agg(F.max("end0").alias("_end"))
               .withColumn("_tile", F.floor(F.col("start0") / F.lit(TILE))))
-    reach = tiled_scan(starts, keys, "_tile", ["start0"], {"_reach": ("max", F.col("_end"), "before")})
+    at = W.partitionBy(*parts).orderBy("start0")
+    reach = F.max("_end").over(at.rowsBetween(W.unboundedPreceding, -1))
     opens = F.when(F.col("_reach").isNull() | (F.col("start0") - F.col("_reach") > max_gap), F.col("start0"))
-    marked = reach.withColumn("_open", opens)
-    return (tiled_scan(marked, keys, "_tile", ["start0"], {"cluster": ("max", F.col("_open"), "upto")})
-            .select(*keys, "start0", "cluster"))
+    local = (starts.repartition(*parts).withColumn("_reach", reach).withColumn("_open", opens)
+             .withColumn("_last", F.max("_open").over(at.rowsBetween(W.unboundedPreceding, 0))))
+    totals = local.groupBy(*parts).agg(F.max("_end").alias("_far"), F.max("_open").alias("_open"), whole_rows(starts))
+    tiles = W.partitionBy(*keys).orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
+    beyond = lambda start: F.col("_past").isNull() | (start - F.col("_past") > max_gap)
+    carried = (totals.withColumn("_past", F.max("_far").over(tiles))
+               .withColumn("_came", F.max(F.when(beyond(F.col("_open")), F.col("_open"))).over(tiles)).select(*parts, "_past", "_came", "_read"))
+    return (same_join(local, carried, parts).filter("_read IS NOT NULL")
+            .select(*keys, "start0", F.when(beyond(F.col("_last")), F.col("_last")).otherwise(F.col("_came")).alias("cluster")))
 
 
 def cluster(df: DataFrame, max_gap: int = -1, stranded: bool = True, points: bool = False) -> DataFrame:
@@ -347,23 +358,23 @@ def window_mean(windows: DataFrame, signal: DataFrame, track: str = "track") ->
                .select(track, *SPAN, ask.alias("_q"))
                .select(*keys, "start0", "end0", F.col("_q.pos").alias("pos"), F.col("_q.side").alias("side"),
                        F.lit(0.0).alias("dv"), F.lit(0).cast("bigint").alias("dc")))
-    rows = (queries.unionByName(events, allowMissingColumns=True)
+    rows = (queries.unionByName(events, allowMissingColumns=True).filter(f"`{track}` IS NOT NULL AND chrom IS NOT NULL")
             .withColumn("_tile", F.floor(F.col("pos") / F.lit(TILE))))
     # height (value and cover) up to each row; area up to a row = sum of height * distance to the next position
     local = W.partitionBy(*keys, "_tile").orderBy("pos").rangeBetween(W.unboundedPreceding, 0)
     at = W.partitionBy(*keys, "_tile").orderBy("pos")
     border = (F.col("_tile") + 1) * TILE
-    stepped = (rows.withColumn("_h", F.sum("dv").over(local)).withColumn("_k", F.sum("dc").over(local))
+    dealt = rows.repartition(*keys, "_tile")
+    totals = dealt.groupBy(*keys, "_tile").agg(
+        F.sum("dv").alias("tv"), F.sum("dc").alias("tc"), F.sum(F.col("dv") * (border - F.col("pos"))).alias("ta"),
+        F.sum(F.col("dc") * (border - F.col("pos"))).alias("tk"), whole_rows(rows))
+    stepped = (dealt.withColumn("_h", F.sum("dv").over(local)).withColumn("_k", F.sum("dc").over(local))
                .withColumn("_w", F.coalesce(F.lead("pos").over(at), border) - F.col("pos")))
     before = at.rowsBetween(W.unboundedPreceding, -1)
     inside = (stepped
               .withColumn("_area", F.coalesce(F.sum(F.col("_h") * F.col("_w")).over(before), F.lit(0.0)))
               .withColumn("_cover", F.coalesce(F.sum(F.col("_k") * F.col("_w")).over(before), F.lit(0))))
-    # per tile: change of height, and area of the tile's own steps up to its right border
-    totals = (rows.groupBy(*keys, "_tile")
-              .agg(F.sum("dv").alias("tv"), F.sum("dc").alias("tc"),
-                   F.sum(F.col("dv") * (border - F.col("pos"))).alias("ta"),
-                   F.sum(F.col("dc") * (border - F.col("pos"))).alias("tk")))
+    # the totals of a tile: change of height, and area of its own steps up to its right border
     tiles = W.partitionBy(*keys).orderBy("_tile")
     past = tiles.rowsBetween(W.unboundedPreceding, -1)
     carried = (totals
@@ -374,11 +385,11 @@ def window_mean(windows: DataFrame, signal: DataFrame, track: str = "track") ->
                            + F.col("tv") * (F.col("_skip") - 1) * TILE)
                .withColumn("_c", F.col("hc") * F.col("_skip") * TILE + F.col("tk")
                            + F.col("tc") * (F.col("_skip") - 1) * TILE)
-               .select(*keys, "_tile", "hv", "hc",
+               .select(*keys, "_tile", "hv", "hc", "_read",
                        F.coalesce(F.sum("_a").over(past), F.lit(0.0)).alias("av"),
                        F.coalesce(F.sum("_c").over(past), F.lit(0)).alias("ac")))
     offset = F.col("pos") - F.col("_tile") * TILE
-    profile = (inside.filter(F.col("side").isNotNull()).join(carried, [*keys, "_tile"])
+    profile = (inside.filter(F.col("side").isNotNull()).join(carried.filter("_read IS NOT NULL"), [*keys, "_tile"])
                .withColumn("area", F.col("av") + F.col("hv") * offset + F.col("_area"))
                .withColumn("cover", F.col("ac") + F.col("hc") * offset + F.col("_cover"))
                .groupBy(*SPAN, track)

@@ -45,20 +45,19 @@ def barcode_variants(barcodes: DataFrame, max_mm: int = 1, min_distance: int = 2
 def demultiplex(pairs: DataFrame, barcodes: DataFrame, max_mm: int = 1, min_distance: int = 2) -> DataFrame:
     """Add ``tag`` (``unmatched`` without a unique barcode at the start of R1); the barcode stays in the read.
 
-    A lookup by equality against all accepted read starts replaces the comparison with every barcode.
-    There is one lookup per barcode length (usually one); the longest accepted start wins.
+    A lookup by equality against all accepted read starts replaces the comparison with every barcode. Starts of all
+    lengths are looked up at once, by as many bases as the shortest has; of those that the read begins with the longest
+    wins. Only starts that share these bases lie in one row of the lookup.
     """
     variants = barcode_variants(barcodes, max_mm, min_distance)
-    # a handful of numbers, whatever the reads
-    lengths = sorted((r[0] for r in barcodes.select(F.length("barcode")).distinct().collect()), reverse=True)
-    rows = pairs.drop("tag")
-    for n in lengths:
-        table = variants.filter(F.length("start") == n).select(
-            F.col("start").alias(f"_s{n}"), F.col("barcode_tag").alias(f"_t{n}"), F.col("mm").alias(f"_m{n}"))
-        rows = rows.join(table, F.substring("r1_seq", 1, n) == F.col(f"_s{n}"), "left")
-    tag = F.coalesce(*[F.col(f"_t{n}") for n in lengths], F.lit("unmatched"))
-    return rows.select(*[c for c in pairs.columns if c != "tag"], tag.alias("tag"),
-                       F.coalesce(*[F.col(f"_m{n}") for n in lengths]).alias("barcode_mm"))
+    bases = variants.agg(F.min(F.length("start"))).scalar()
+    longest_first = F.array_sort(F.collect_list(F.struct((-F.length("start")).alias("n"), "start", "barcode_tag", "mm")))
+    table = variants.groupBy(F.substring("start", F.lit(1), bases).alias("_first")).agg(longest_first.alias("_starts"))
+    rows = pairs.drop("tag").withColumn("_first", F.substring("r1_seq", F.lit(1), bases)).join(table, "_first", "left")
+    found = F.get(F.filter("_starts", lambda s: F.col("r1_seq").startswith(s["start"])), 0)
+    return (rows.withColumn("_found", found)
+            .select(*[c for c in pairs.columns if c != "tag"], F.coalesce("_found.barcode_tag", F.lit("unmatched")).alias("tag"),
+                    F.col("_found.mm").alias("barcode_mm")))
 
 
 def demux_counts(pairs: DataFrame) -> DataFrame:
@@ -144,6 +143,40 @@ def split_linker_r2(pairs: DataFrame, adapters: AdapterSet = AdapterSet()) -> Da
     return trim_adapter(pairs, adapters.linker_r2, "5p", len(adapters.linker_r2), 0.16, mate="r2", keep_unmatched=True)
 
 
+# Where a pair leaves the trimming, in order; the last three are its branches.
+OUTCOMES = ("provirus", "no_ltr", "no_elongation", "no_prefix", "linker_r1", "linker_r2", "no_linker")
+
+
+def route_reads(pairs: DataFrame, adapters: AdapterSet = AdapterSet()) -> DataFrame:
+    """All pairs with ``outcome``, one of ``OUTCOMES``: the rule of the trimming that a pair fails, or its branch.
+
+    The rules are those of ``without_provirus``, ``require_ltr``, ``require_elongation``, ``require_prefix``,
+    ``split_linker_r1`` and ``split_linker_r2`` in this order; pairs are trimmed as far as they came. A pair that has its
+    outcome is not searched any more. So every intermediate count of the trimming is a count of one column.
+    """
+    size = len(adapters.provirus)
+    rules = [(adapters.provirus, "5p", size, 0.1, "r1", "provirus", None), (adapters.ltr, "5p", len(adapters.ltr), 0.1, "r1", None, "no_ltr"),
+             (adapters.elongation, "5p", len(adapters.elongation), 0.16, "r1", None, "no_elongation"), None,
+             (adapters.linker_r1, "3p", 8, 0.2, "r1", "linker_r1", None),
+             (adapters.linker_r2, "5p", len(adapters.linker_r2), 0.16, "r2", "linker_r2", "no_linker")]
+    rows = pairs.withColumn("outcome", F.lit(None).cast("string"))
+    going = F.col("outcome").isNull()
+    for rule in rules:
+        if rule is None:
+            starts = going & F.col("r1_seq").startswith(adapters.prefix)
+            cut = F.when(starts, len(adapters.prefix) + 1).otherwise(1)
+            rows = (_clip(rows.withColumn("_starts", starts).withColumn("_cut", cut), "r1", F.col("_cut"), F.length("r1_seq"))
+                    .withColumn("outcome", F.when(going & ~F.coalesce("_starts", F.lit(False)), "no_prefix").otherwise(F.col("outcome"))).drop("_starts", "_cut"))
+            continue
+        adapter, end, overlap, rate, mate, hit, miss = rule
+        found = (rows.withColumn("match", adapter_match(F.when(going, F.col(f"{mate}_seq")), adapter, end, overlap, rate))
+                 .withColumn("_hit", F.col("match").isNotNull()))
+        rows = found.drop("match") if hit == "provirus" else trim_match(found, end, mate)
+        rows = (rows.withColumn("outcome", F.when(going & F.col("_hit"), F.lit(hit)).when(going, F.lit(miss)).otherwise(F.col("outcome")))
+                .drop("_hit"))
+    return rows
+
+
 def quality_trim(pairs: DataFrame, cutoff: int = 20, mate: str = "r2") -> DataFrame:
     """Cut the low-quality 3' end of one mate."""
     rows = pairs.withColumn("_keep", quality_keep(f"{mate}_qual", cutoff))

@@ -78,31 +78,41 @@ _FOLD = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
 _UNBOUNDED = {"upto": (W.unboundedPreceding, 0), "before": (W.unboundedPreceding, -1), "after": (1, W.unboundedFollowing)}
 
 
+def whole_rows(df: DataFrame):
+    """An aggregate ``_read`` that reads every column of ``df``.
+
+    Window functions and totals over the same tiles can share one exchange, so that what lies below it is run once - but only
+    if both ask for the same columns. With this in the totals the optimizer can't drop any from their side. The result must
+    be used (``_read IS NOT NULL``), and ``df`` should have no column that the window side leaves unused.
+    """
+    return F.max(F.xxhash64(*df.columns)).alias("_read")
+
+
 def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, scans: dict) -> DataFrame:
     """Running aggregates within ``keys`` in ``order``, computed tile by tile.
 
     ``scans`` maps an output column to ``(fold, value, reach)`` with fold ``sum|max|min|xor`` and reach
     ``upto`` (rows up to and including this one), ``before`` or ``after``. ``tile`` must not decrease in
     ``order``. Each ``(keys, tile)`` group is one window partition and the tile totals are carried in a
-    second, much smaller window, so no task ever sorts a whole key. Without ``tile`` the window runs over
-    ``keys`` alone.
+    second, much smaller window, so no task ever sorts a whole key; both read ``df`` through one exchange.
+    Without ``tile`` the window runs over ``keys`` alone.
     """
     parts = [*keys, tile] if tile else keys
     local = {}
     for out, (fold, value, reach) in scans.items():
         window = W.partitionBy(*parts).orderBy(*order).rowsBetween(*_UNBOUNDED[reach])
         local[out] = _FOLD[fold](value).over(window)
-    scanned = df.withColumns(local)
     if tile is None:
-        return scanned.withColumns({out: F.coalesce(F.col(out), F.lit(0))
-                                    for out, (fold, _, _) in scans.items() if fold == "sum"})
-    totals = df.groupBy(*parts).agg(*[_FOLD[fold](value).alias(f"_t_{out}") for out, (fold, value, _) in scans.items()])
+        return df.withColumns(local).withColumns({out: F.coalesce(F.col(out), F.lit(0))
+                                                  for out, (fold, _, _) in scans.items() if fold == "sum"})
+    dealt = df.repartition(*parts)
+    totals = dealt.groupBy(*parts).agg(*[_FOLD[fold](value).alias(f"_t_{out}") for out, (fold, value, _) in scans.items()], whole_rows(df))
     carried = []
     for out, (fold, _, reach) in scans.items():
         window = (W.partitionBy(*keys).orderBy(tile)
                   .rowsBetween(*_UNBOUNDED["after" if reach == "after" else "before"]))
         carried.append(_FOLD[fold](f"_t_{out}").over(window).alias(f"_c_{out}"))
-    joined = same_join(scanned, totals.select(*parts, *carried), parts)
+    joined = same_join(dealt.withColumns(local), totals.select(*parts, *carried, "_read"), parts).filter("_read IS NOT NULL")
     both = {}
     for out, (fold, _, _) in scans.items():
         if fold == "sum":
@@ -111,7 +121,7 @@ def tiled_scan(df: DataFrame, keys: list[str], tile: str | None, order: list, sc
             both[out] = F.coalesce(F.col(out), F.lit(0)).bitwiseXOR(F.coalesce(F.col(f"_c_{out}"), F.lit(0)))
         else:
             both[out] = (F.greatest if fold == "max" else F.least)(F.col(out), F.col(f"_c_{out}"))
-    return joined.withColumns(both).drop(*[f"_c_{out}" for out in scans])
+    return joined.withColumns(both).drop(*[f"_c_{out}" for out in scans], "_read")
 
 
 def value_slices(df: DataFrame, keys: list[str], value: str, rows: int = SLICE_ROWS) -> DataFrame:

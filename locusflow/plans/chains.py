@@ -57,19 +57,17 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, index: lc.Genom
     located by R1 alone and used for the qualitative table only.
     """
     tagged = rd.demultiplex(pairs, barcodes).filter(F.col("tag") != "unmatched").drop("barcode_mm") if barcodes is not None else pairs
-    trimmed = rd.require_prefix(rd.require_elongation(rd.require_ltr(rd.without_provirus(tagged, adapters), adapters), adapters),
-                                adapters.prefix)
-    linked = checkpointed(rd.split_linker_r1(trimmed, adapters))
-    with_r1 = linked.filter("matched").drop("matched")
-    by_r2 = checkpointed(rd.split_linker_r2(linked.filter("NOT matched").drop("matched"), adapters))
-    with_r2 = by_r2.filter("matched").drop("matched")
-    without = by_r2.filter("NOT matched").drop("matched")
-
-    unique = rd.min_length(rd.collapse_reads(rd.single_reads(with_r1), 1))
+    routed = checkpointed(rd.route_reads(tagged, adapters))
+    branch = lambda outcome: routed.filter(F.col("outcome") == outcome).drop("outcome")
+    with_r1, with_r2, without = branch("linker_r1"), branch("linker_r2"), branch("no_linker")
+
+    collapsed = rd.with_length_ok(rd.collapse_reads(rd.single_reads(with_r1), 1))
+    unique = collapsed.filter("long_enough").drop("long_enough")
     r1_aln = checkpointed(lc.locate_reads(unique, index))
     r1_obs = r1_branch(r1_aln)
 
-    ready = rd.min_length(rd.trim_r2_tail(with_r2, adapters), 20, mates="any")
+    tailed = rd.with_length_ok(rd.trim_r2_tail(with_r2, adapters), 20, mates="any")
+    ready = tailed.filter("long_enough").drop("long_enough")
     pair_aln = checkpointed(lc.locate_pairs(ready, index))
     confident, rescued = pair_branch(pair_aln)
     pair_by_size = st.collapse_by_size(st.pair_insertion_point(confident), count_rows=True)
@@ -78,17 +76,22 @@ def reads_to_sites(pairs: DataFrame, barcodes: DataFrame | None, index: lc.Genom
     left_over = rd.residual_reads(no_linker=rd.single_reads(without), rescued=rescued, unaligned_pair=rd.single_reads(unplaced),
                                   unmapped=lc.unlocated(unique, r1_aln).withColumnRenamed("qname", "read_id"))
     residual = rd.collapse_reads(rd.min_length(rd.cut_reads(left_over)))
-    residual_obs = residual_branch(checkpointed(lc.locate_reads(residual, index, trim3=5)))
+    residual_aln = checkpointed(lc.locate_reads(residual, index, trim3=5))
+    residual_obs = residual_branch(residual_aln)
 
     collapse = lambda obs: st.collapse_sites(st.collapse_by_size(obs))
     qualitative = st.qual_is(collapse(r1_obs), collapse(residual_obs), st.collapse_sites(pair_by_size))
     quantitative = st.quant_is(r1_obs, pair_by_size)
     single = st.aln_to_interval(al.unique_hit(al.exact_junction(r1_aln)))
     fragments = st.union_fragments(single, st.pair_fragment(confident))
-    stages = fn.stage_counts(R1_raw=tagged, R1_trimmed=linked, R1_linker=with_r1, R1_linkerR2=with_r2, R1_collapsed=unique,
-                             R1_located=r1_aln, pairs_located=pair_aln, Qual_sites=qualitative, R1_noLinker=without, pairs_long=ready,
-                             R1_exact=al.exact_junction(r1_aln), R1_unique=al.unique_hit(al.exact_junction(r1_aln)),
-                             pairs_confident=confident, pairs_rescued=rescued, Quant_sites=quantitative)
+    # one pass per table, whatever the number of stages counted on it
+    exact, unique_hit, enough = al.is_exact(), al.is_unique(), F.col("long_enough")
+    stages = fn.stack_stages(
+        fn.trimming_counts(routed), fn.stage_flags(collapsed, R1_collapsed=enough, R1_tooShort=~enough),
+        fn.stage_flags(r1_aln, R1_located=F.lit(True), R1_exact=exact, R1_unique=exact & unique_hit, R1_multihit=~unique_hit),
+        fn.stage_flags(tailed, pairs_long=enough, pairs_tooShort=~enough), fn.stage_counts(pairs_located=pair_aln, pairs_confident=confident, pairs_rescued=rescued),
+        fn.stage_counts(R1_unmapped=lc.unlocated(unique, r1_aln), pairs_unmapped=unplaced, residual=residual, residual_located=residual_aln,
+                        Qual_sites=qualitative, Quant_sites=quantitative))
     return SiteTables(r1_obs, pair_by_size, residual_obs, qualitative, quantitative, st.union_quant(r1_obs, pair_by_size), fragments, stages)
 
 
@@ -140,11 +143,24 @@ def motif_tables(fragments: DataFrame, genome: DataFrame, sizes: DataFrame, arou
     return ft.bind_rows(*out)
 
 
-def report_tables(annotated: DataFrame, abundance: DataFrame) -> dict[str, DataFrame]:
-    """Tables behind the report."""
+def report_tables(annotated: DataFrame, abundance: DataFrame, stages: DataFrame | None = None, dim: DataFrame | None = None,
+                  reads: DataFrame | None = None, alignments: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables behind the report.
+
+    ``stages`` (of ``reads_to_sites``) with their dimension ``dim`` give the read funnel; single ``reads`` and ``alignments``
+    give their statistics.
+    """
     freq = dv.frequencies(abundance, "theta" if "theta" in abundance.columns else "fragments_corrected")
-    return {
+    tables = {
         "summary": fn.run_summary(annotated), "position_share": fn.position_share(annotated),
         "chrom_strand": fn.share_by(annotated, "chrom", "strand"), "top_genes": fn.top_genes(annotated),
         "rank_abundance": dv.broken_stick(freq), "lorenz": dv.lorenz(freq), "diversity": dv.diversity_table(freq),
     }
+    if stages is not None and dim is not None:
+        rows = fn.funnel(stages, dim)
+        tables |= {"funnel": rows, "stage_outcomes": fn.stage_outcomes(rows), "reported_stages": fn.reported_stages(rows)}
+    if reads is not None:
+        tables["read_statistics"] = al.fastq_stats(reads)
+    if alignments is not None:
+        tables["flag_statistics"] = al.flag_stats(alignments)
+    return tables

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from locusflow.operators import features as ft, fragments as fr, genome as gn, locate as lc
+from locusflow.operators import features as ft, fragments as fr, genome as gn, locate as lc, reads as rd
 from locusflow.plans import chains
 from locusflow.schema import AdapterSet
 
@@ -82,6 +82,9 @@ def test_stage_counts_shrink_along_the_chain(tables):
     assert stages["R1_raw"] == 15 and stages["R1_trimmed"] == 12
     assert (stages["R1_linker"], stages["R1_linkerR2"], stages["R1_collapsed"]) == (8, 3, 6)
     assert stages["R1_located"] == 6 and stages["pairs_located"] == 6 and stages["Qual_sites"] == 6
+    assert stages["R1_provirus"] + stages["R1_noLTR"] + stages["R1_noElongation"] + stages["R1_noPrefix"] == 3
+    assert stages["R1_raw"] >= stages["R1_noProvirus"] >= stages["R1_LTR"] >= stages["R1_elongation"] >= stages["R1_trimmed"]
+    assert stages["R1_collapsed"] == stages["R1_located"] + stages["R1_unmapped"] and stages["R1_tooShort"] == 0 and stages["R1_multihit"] >= 0
 
 
 def test_annotation_abundance_association_and_report(spark, run, tables):
@@ -112,7 +115,11 @@ def test_annotation_abundance_association_and_report(spark, run, tables):
     assert {r.end for r in motif} == {"insertion", "ligation"} and max(r.pos for r in motif) == 40
 
     abundance = fr.site_abundance(obs, estimate=False)
-    report = chains.report_tables(annotated, abundance)
-    assert set(report) == {"summary", "position_share", "chrom_strand", "top_genes", "rank_abundance", "lorenz", "diversity"}
+    dim = spark.createDataFrame([("^R1_raw$", "R1_raw", "", "00"), ("^R1_noProvirus$", "R1_provirus Negative", "R1_raw", "01"),
+                                 ("^R1_LTR$", "R1_LTR Positive", "R1_provirus Negative", "02")], "pattern string, description string, parents string, step string")
+    report = chains.report_tables(annotated, abundance, tables.stages, dim, reads=rd.single_reads(run[0]))
+    assert set(report) == {"summary", "position_share", "chrom_strand", "top_genes", "rank_abundance", "lorenz", "diversity", "funnel", "stage_outcomes",
+                           "reported_stages", "read_statistics"}
+    assert {r.pct_total for r in report["funnel"].filter("stage = 'R1_raw'").collect()} == {100.0} and report["read_statistics"].count() > 0
     assert {r.unique_sites for r in report["summary"].collect()} == {1, 2}
     assert report["top_genes"].count() == 0 and report["lorenz"].count() > 0

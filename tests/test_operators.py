@@ -313,6 +313,32 @@ def test_demultiplexing_drops_ambiguous_starts(spark):
     assert {r.r1_seq: r.tag for r in rd.demultiplex(pairs, barcodes).collect()} == starts
 
 
+# ---- one exchange per scan ---------------------------------------------------------------------
+
+
+def _scans(df, folder):
+    """How often the plan that ran reads each table of a folder, and whether an exchange was used again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0] if "Subquery" not in plan else plan
+    return {x: sum(1 for line in final.split("\n") if "FileScan" in line and f"{folder}/{x}" in line) for x in "abg"}, "ReusedExchange" in plan
+
+
+def test_scans_read_their_input_once(spark, tmp_path):
+    for seed, (name, n, widest) in enumerate((("a", 200, 900), ("b", 150, 5_000))):
+        _intervals(spark, seed + 3, n, widest)[1].withColumnRenamed("name", f"{name}_only").write.parquet(str(tmp_path / name))
+    contigs = spark.createDataFrame([(f"chr{i}", "ACGTN" * 40_000) for i in range(3)], "chrom string, seq string")
+    gn.chunked(contigs, 128).write.parquet(str(tmp_path / "g"))
+    a, b, genome = (spark.read.parquet(str(tmp_path / name)) for name in "abg")
+    # the rows of a are read for their distinct spans and to be returned, the sequence for its counts and its pieces
+    for df, want in ((iv.span_profile(iv._spans(a), b), {"a": 1, "b": 1, "g": 0}), (iv.overlap_count(a, b), {"a": 2, "b": 1, "g": 0}),
+                     (iv.overlap_join(a, b, "anti"), {"a": 2, "b": 1, "g": 0}), (iv.islands(b, 0), {"a": 0, "b": 1, "g": 0}),
+                     (gn.base_composition(a, genome, 128), {"a": 2, "b": 0, "g": 2})):
+        assert _scans(df, tmp_path) == (want, True)
+    signal = b.selectExpr("'t' AS track", "chrom", "start0", "end0", "1.5D AS value", "b_only")
+    assert _scans(iv.window_mean(a, signal), tmp_path)[1]
+
+
 # ---- genome and location -----------------------------------------------------------------------
 
 

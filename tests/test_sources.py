@@ -1,4 +1,7 @@
 import gzip
+import random
+
+import pytest
 
 from locusflow.operators import intervals as iv
 from locusflow.sources import fastq, sinks, text
@@ -128,3 +131,68 @@ def test_sam_tag_behind_many_others(spark, tmp_path):
     fields = ["r", "0", "c", "1", "42", "4M", "*", "0", "0", "ACGT", "IIII", *[f"X{i:04d}:Z:x" for i in range(1200)], "AS:i:-6"]
     (tmp_path / "a.sam").write_text("\t".join(fields) + "\n")
     assert text.read_sam(spark, str(tmp_path / "a.sam")).first().as_score == -6
+
+
+# ---- byte ranges -------------------------------------------------------------------------------
+
+
+def _random_reads(n, seed=7):
+    rng = random.Random(seed)
+    draw = lambda: "".join(rng.choice("ACGTN") for _ in range(rng.randrange(1, 90)))
+    one, two, want = [], [], []
+    for i in range(n):
+        a, b = draw(), draw()
+        one.append(f"@read{i}/1 lane\n{a}\n+\n{'@' * len(a)}\n")  # qualities that look like headers
+        two.append(f"@read{i}/2\n{b}\n+read{i}\n{'+' * len(b)}\n")
+        want.append((f"read{i}", a, b))
+    return "".join(one), "".join(two), want
+
+
+@pytest.mark.parametrize("split", [1, 37, 500, 4096, 1 << 20])
+def test_fastq_ranges_of_any_size_give_the_same_pairs(spark, tmp_path, split):
+    one, two, want = _random_reads(40 if split == 1 else 400)
+    _write(tmp_path / "a_TAG1_R1_001.fastq", one if split > 1 else one[: one.index("@read3/1")])
+    _write(tmp_path / "a_TAG1_R2_001.fastq", two if split > 1 else two[: two.index("@read3/2")])
+    _write(tmp_path / "b_TAG2_R1_001.fastq", "@x/1\nAC\n+\nII")  # no line end
+    _write(tmp_path / "b_TAG2_R2_001.fastq", "@x/2\nGT\n+\nII")
+    df = fastq.read_fastq_pairs(spark, f"{tmp_path}/*_R1_*", f"{tmp_path}/*_R2_*", split=split)
+    want = sorted((want if split > 1 else want[:3]) + [("x", "AC", "GT")])
+    assert sorted((r.read_id, r.r1_seq, r.r2_seq) for r in df.collect()) == want
+    if split == 500:
+        assert df.rdd.getNumPartitions() >= len(one) // 500
+
+
+def test_fastq_ranges_notice_missing_and_surplus_mates(spark, tmp_path):
+    one, two, _ = _random_reads(200)
+    for name, a, b in (("less", one, two[: two.index("@read150/2")]), ("more", one[: one.index("@read150/1")], two)):
+        (tmp_path / name).mkdir()
+        _write(tmp_path / name / "a_R1_001.fastq", a)
+        _write(tmp_path / name / "a_R2_001.fastq", b)
+        with pytest.raises(Exception, match="missing|more reads"):
+            fastq.read_fastq_pairs(spark, f"{tmp_path}/{name}/*_R1_*", f"{tmp_path}/{name}/*_R2_*", split=700).count()
+
+
+@pytest.mark.parametrize("width", [60, 7, None])
+@pytest.mark.parametrize("split", [3, 50, 333, 1 << 20])
+def test_fasta_ranges_of_any_size_give_the_same_chunks(spark, tmp_path, width, split):
+    rng = random.Random(split)
+    sizes = (200, 1, 0, 333, 64) if split > 3 else (90, 0, 40)
+    seqs = {f"chromosome_{i}": "".join(rng.choice("ACGTNacgt") for _ in range(n)) for i, n in enumerate(sizes)}
+    lines = lambda s: [s] if width is None else [s[i:i + width] for i in range(0, len(s), width)]
+    _write(tmp_path / "g.fa", "".join(f">{c} a long note behind the name of the sequence\r\n" + "".join(x + "\n" for x in lines(s)) for c, s in seqs.items()))
+    _write(tmp_path / "h.fa", ">last\n" + "ACGT" * 30)
+    seqs["last"] = "ACGT" * 30
+    df = fastq.read_fasta_chunks(spark, f"{tmp_path}/*.fa", chunk=64, split=split)
+    want = sorted((c, i // 64, i, s[i:i + 64]) for c, s in seqs.items() for i in range(0, len(s), 64))
+    assert sorted(map(tuple, df.collect())) == want
+
+
+@pytest.mark.parametrize("split", [1, 40, 200, 1 << 20])
+def test_wiggle_ranges_of_any_size_give_the_same_signal(spark, tmp_path, split):
+    n = 120 if split > 1 else 12
+    body = ["track type=wiggle_0", "fixedStep chrom=chr1 start=11 step=10 span=5", *[f"{i / 4}" if i % 5 else "NaN" for i in range(n)], "# note",
+            "variableStep chrom=chr2 span=3", *[f"{100 + 7 * i} {i}" for i in range(n)], "", "fixedStep chrom=chr3 start=1", *map(str, range(n))]
+    _write(tmp_path / "t.wig", "\n".join(body) + "\n")
+    want = [("t", "chr1", 10 + 10 * i, 15 + 10 * i, i / 4) for i in range(n) if i % 5]
+    want += [("t", "chr2", 99 + 7 * i, 102 + 7 * i, float(i)) for i in range(n)] + [("t", "chr3", i, i + 1, float(i)) for i in range(n)]
+    assert sorted(map(tuple, fastq.read_wig(spark, f"{tmp_path}/*.wig", split=split).collect())) == sorted(want)
