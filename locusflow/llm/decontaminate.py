@@ -1,4 +1,4 @@
-"""Benchmark decontamination by seeds that no accepted damage can hit all at once, with DataFrame functions only."""
+"""Benchmark decontamination by spaced seeds that no accepted damage can hit all at once, with DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -8,16 +8,24 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from locusflow.operators.scaling import checkpointed
+from locusflow.operators.scaling import Landing, checkpointed
 
 # Word places that a mask looks at, as offsets from its first; the others may differ.
-RUN = (0, 1, 2, 3)
 SPACED = ((0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))
+RUN = (0, 1, 2, 3)  # beside the spaced ones for the shortest items, which have no room for a place to ignore
 BROADCAST_SEEDS = 500_000  # up to so many benchmark seeds (24 bytes each) are broadcast
 
 
 def _covers(masks: tuple, n: int, changed: int) -> bool:
-    """Whether every choice of ``changed`` among ``n`` words leaves a mask without one of them."""
+    """Whether every choice of ``changed`` among ``n`` words leaves a mask without one of them.
+
+    By counting where that is enough: a changed word lies in as many places of a mask as the mask has words. Else all
+    choices are tried.
+    """
+    if any(n - m[-1] > len(m) * changed for m in masks):
+        return True
+    if math.comb(n, changed) > 20_000:
+        return False
     places = [sum(1 << at + k for k in m) for m in masks for at in range(n - m[-1])]
     return all(any(not p & hit for p in places) for hit in (sum(1 << k for k in c) for c in combinations(range(n), changed)))
 
@@ -26,20 +34,17 @@ def _covers(masks: tuple, n: int, changed: int) -> bool:
 def masks_for(n: int, least: float) -> tuple:
     """Masks of which one at least is whole in every copy of ``n`` words that keeps ``least`` of them in place.
 
-    ``changed`` words cut the others into ``changed + 1`` runs, so the longest has at least ``run`` words: four for most
-    lengths. Shorter items get spaced masks, proved by trying all changes; items that must be whole are one seed.
+    At 0.8 one spaced mask is complete for items of more than 20 words, by counting; shorter ones get up to four masks,
+    proved by trying all changes. Items that must be whole are one seed. At other shares that the masks don't serve, items
+    are looked up by the longest run of words that must be left.
     """
     changed = n - math.ceil(least * n - 1e-9)
-    run = -(-(n - changed) // (changed + 1))
-    if run >= len(RUN):
-        return (RUN,)
     if changed == 0:
         return (tuple(range(n)),)
-    if math.comb(n, changed) <= 10_000:
-        for more in range(1, len(SPACED) + 1):
-            if _covers((RUN, *SPACED[:more]), n, changed):
-                return (RUN, *SPACED[:more])
-    return (tuple(range(max(run, 1))),)
+    for masks in (*[SPACED[:k] for k in range(1, len(SPACED) + 1)], (*SPACED, RUN)):
+        if _covers(masks, n, changed):
+            return masks
+    return (tuple(range(max(min(-(-(n - changed) // (changed + 1)), len(RUN)), 1))),)
 
 
 def word_hashes(text):
@@ -115,4 +120,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     """``docs`` without the rows that hold a benchmark item; all other rows and all columns stay."""
     found = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias("_id"), F.col("th").alias("_th")).distinct()
     same = F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_th") == F.xxhash64(text_col))
-    return docs.join(checkpointed(found), same, "left_anti")
+    # landed with its true size, so that a short list is broadcast and the documents stay where they are
+    return docs.join(Landing(docs.sparkSession).land(found), same, "left_anti")
