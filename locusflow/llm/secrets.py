@@ -10,7 +10,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from locusflow.operators.scaling import checkpointed
+from locusflow.operators.scaling import Landing, checkpointed
 
 # The kinds in their order, and their patterns.
 BASE_KINDS = ("assign", "access", "hex")
@@ -39,11 +39,14 @@ def candidates(text: str) -> list[tuple[str, int, int, str]]:
         out += [("access", m.start(), m.end(), m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     out += [("hex", m.start(), m.end(), m[0]) for m in _HEX.finditer(text)]
     out += [("issued", m.start(), m.end(), m[0]) for m in _ISSUED.finditer(text)]
-    taken = [(s, e) for _, s, e, _ in out]
+    taken = sorted((s, e) for _, s, e, _ in out)
+    at = reach = 0  # spans that start before an opaque string ends, and how far they reach
     for m in _OPAQUE.finditer(text):
         v = m[0]
-        if (any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and entropy(v) >= 3.5
-                and not any(s < m.end() and m.start() < e for s, e in taken)):
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= m.start() and any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and entropy(v) >= 3.5:
             out.append(("opaque", m.start(), m.end(), v))
     return out
 
@@ -141,6 +144,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", t
     found = checkpointed(find_candidates(docs, id_col, owner_col, text_col).filter(F.size("found") > 0))
     live = (judged(found, max_owners, few_repos, max_repos).select("row", F.filter("verdicts", lambda v: v["live"]).alias("_spans"))
             .filter(F.size("_spans") > 0))
+    live = Landing(docs.sparkSession).land(live)  # with its true size, so that few spans are broadcast and the documents stay where they are
     text = F.col(text_col)
     # spans in order; what a span shares with those before it is already gone
     cut = F.aggregate("_spans", F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")), lambda a, v: F.when(
