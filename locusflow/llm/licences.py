@@ -10,7 +10,7 @@ from locusflow.llm.words import words_of
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Opening notices of public licenses and their labels.
+# Notices and passages of public licenses and their labels.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                   "compliance with the License. You may obtain a copy of the License at",
@@ -24,6 +24,23 @@ TEMPLATES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
            "documentation files (the \"Software\"), to deal in the Software without restriction",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "bsd-disclaimer": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, "
+                      "including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are "
+                      "disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, "
+                      "special, exemplary, or consequential damages",
+    "mit-disclaimer": "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the "
+                      "warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or "
+                      "copyright holders be liable for any claim, damages or other liability",
+    "lgpl-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation",
+    "gpl-preamble": "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most "
+                    "software and other practical works are designed to take away your freedom to share and change the works",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                 "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+            "damages arising from the use of this software",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+             "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software",
 }
 
 
@@ -112,8 +129,8 @@ class LicenseAutomaton:
     def spans(self, matches: list, max_gap: int, least_cover: float) -> list[tuple[str, int, int, float]]:
         """Chains matches that follow each other in the text and in a template: ``(label, start, end, cover)``.
 
-        A chain goes on while the next match starts within ``max_gap`` words of its end in both; words of the template
-        count once. Only chains that cover at least ``least_cover`` of their template are returned.
+        A chain goes on while the next match starts within ``max_gap`` words of its end in both; words of the text or of
+        the template that both matches hold (next to a deletion or a doubled word) count once. Only chains that cover at least ``least_cover`` of their template are returned.
         """
         out, open_chains = [], {}
 
@@ -126,9 +143,11 @@ class LicenseAutomaton:
         for end, n, s in matches:
             for k, at in sorted(self.ends[s]):
                 start, chain = end - n, open_chains.get(k)
-                if chain and 0 <= start - chain[1] <= max_gap and 0 <= at - n - chain[2] <= max_gap:
-                    open_chains[k] = (chain[0], end, at, chain[3] + n)
-                    continue
+                if chain:
+                    shared = max(chain[1] - start, chain[2] - (at - n), 0)
+                    if shared < n and start + shared - chain[1] <= max_gap and at - n + shared - chain[2] <= max_gap:
+                        open_chains[k] = (chain[0], end, at, chain[3] + n - shared)
+                        continue
                 if chain and chain[1] > start - max_gap and n <= chain[3]:
                     continue  # a shorter match at another place of the same template
                 if chain:

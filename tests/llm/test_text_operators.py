@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -133,3 +134,28 @@ def test_score_ignores_neighbours():
     for t, (slots, values) in zip(texts, together, strict=True):
         (s, v), = quality._sparse([t])
         assert list(s) == list(slots) and v == pytest.approx(values)
+
+
+def test_chains_go_on_over_deletions_and_doubled_words():
+    automaton = licences.LicenseAutomaton({}, licences.TEMPLATES)
+    notice = licences.words_of(licences.TEMPLATES["gpl-notice"])
+
+    def chains(words):
+        return [c for c in automaton.spans(automaton.scan(words, 5)[1], 8, 0.5) if c[0] == "gpl-notice"]
+
+    less = notice[:10] + notice[13:]  # without "or modify it", next to a word that stands on both sides
+    doubled = notice[:8] + notice[7:]
+    for words in (notice, less, doubled):
+        (label, start, end, cover), = chains([b"x", *words, b"y"])
+        assert (start, end) == (1, len(words) + 1) and cover > 0.85
+
+
+def test_opaque_strings_beside_many_spans_cost_linear_time():
+    text = " ".join(f"token = abcdefGHIJKL{i:06d} Zq{i:05d}xYtRwPlMnBvKdSa" for i in range(50_000))
+    began = time.time()
+    found = secrets.candidates(text)
+    assert time.time() - began < 20
+    assert sum(c[0] == "assign" for c in found) == 50_000 and sum(c[0] == "opaque" for c in found) == 50_000
+    few = secrets.candidates(text[:4000])
+    taken = [c for c in few if c[0] != "opaque"]
+    assert not any(a[1] < b[2] and b[1] < a[2] for a in few if a[0] == "opaque" for b in taken)
