@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from locusflow.llm import decontaminate, embeddings, neardup, repeats
 from locusflow.llm.registry import documents, query, table
 
@@ -22,7 +24,9 @@ def op8_minhash_near_dedup(spark, sf_dir):
 @query("op9_repeated_strings")
 def op9_repeated_strings(spark, sf_dir):
     """What is left of each document without byte strings of 400 or more that stand elsewhere too?"""
-    return repeats.remove_repeats(documents(spark, sf_dir))
+    out = repeats.remove_repeats(documents(spark, sf_dir))
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(F.lit(0.0))
+    return out.withColumns({"removed": F.col("n_removed") > 0, "share_removed": share})
 
 
 @query("op10_embedding_near_dedup")
