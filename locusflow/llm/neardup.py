@@ -324,10 +324,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of every class of near duplicates, the first by id and text hash; all columns stay.
 
-    Rows repeated with id and text count once, whatever their other columns hold.
+    Rows repeated with id and text count once; of their other columns the least row stays, so that a task that is run again
+    keeps the same one.
     """
     classes = near_duplicates(docs, id_col, text_col, **options)
     kept = classes.filter("kept").select(F.col(id_col).alias("_id"), F.col("th").alias("_th")).distinct()
-    rows = docs.withColumn("_h", F.xxhash64(text_col)).dropDuplicates([id_col, "_h"])
+    others = [c for c in docs.columns if c != id_col]
+    rows = (docs.withColumn("_h", F.xxhash64(text_col)).groupBy(id_col, "_h").agg(F.min(F.struct(*others)).alias("_least"))
+            .select(id_col, "_h", "_least.*"))
     same = F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_th") == F.col("_h"))
     return rows.join(checkpointed(kept), same, "left_semi").select(*docs.columns)
