@@ -264,17 +264,30 @@ def closest(a: DataFrame, b: DataFrame, ties: str = "all", signed: str | None =
         features = features.groupBy("chrom", "side", "pos").agg(F.min("f").alias("f"))
     apart = (asked.join(features, ["chrom", "side", "pos"])
              .select(*SPAN, "_d", (F.col("side") == "R").alias("_right"), "f.*"))
-    touching = overlap_join(spans.select(*SPAN), b).withColumn("_d", F.lit(0)).withColumn("_right", F.lit(False))
-    if ties == "first":
-        touching = (touching.groupBy(*SPAN, "_d", "_right")
-                    .agg(F.min(F.struct(*[f"b_{c}" for c in _first_order(b.columns)])).alias("f"))
-                    .select(*SPAN, "_d", "_right", "f.*"))
-    both = apart.unionByName(touching)
+    touching = _first_touching(spans, b) if ties == "first" else overlap_join(spans.select(*SPAN), b)
+    both = apart.unionByName(touching.withColumn("_d", F.lit(0)).withColumn("_right", F.lit(False)))
     return (a.join(both, SPAN, "left")
             .withColumn("distance", _signed(F.col("_d"), F.col("_right"), signed).cast("bigint"))
             .select(*a.columns, *b_cols, "distance"))
 
 
+def _first_touching(spans: DataFrame, b: DataFrame) -> DataFrame:
+    """The first overlapping feature by coordinate of each span that has any, without forming overlap pairs.
+
+    Of all features that end behind the start of a span the first by coordinate overlaps it, or none does. So it is a
+    running least over the features in order of their ends, whatever the number of overlaps.
+    """
+    feature = F.struct(*[F.col(c).alias(f"b_{c}") for c in _first_order(b.columns)])
+    ends = (b.filter("start0 < end0").select("chrom", F.col("end0").alias("pos"), feature.alias("f"))
+            .groupBy("chrom", "pos").agg(F.min("f").alias("f")).withColumn("rank", F.lit(0)))
+    # features that end at the start of a span come before it
+    asked = spans.select(*SPAN, F.col("start0").alias("pos"), F.lit(1).alias("rank"))
+    rows = (asked.unionByName(ends, allowMissingColumns=True).filter("chrom IS NOT NULL")
+            .withColumn("_tile", F.floor(F.col("pos") / F.lit(TILE))))
+    scanned = tiled_scan(rows, ["chrom"], "_tile", ["pos", "rank"], {"_first": ("min", F.col("f"), "after")})
+    return scanned.filter((F.col("rank") == 1) & (F.col("_first.b_start0") < F.col("end0"))).select(*SPAN, "_first.*")
+
+
 def _first_order(columns: list[str]) -> list[str]:
     """Columns with coordinates and name in front, so that the least struct is the first feature by coordinate."""
     front = [c for c in ("start0", "end0", "name") if c in columns]

@@ -1,19 +1,14 @@
 """Every registered query with SQL gives the same rows as DuckDB on the smallest tables."""
 
-import os
-
 import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, duck_connection
+from checks.registry import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-# by default every operator group is sampled; LOCUSFLOW_ALL_QUERIES=1 runs all (as does checks.compare)
-SAMPLE = """annotated_sites overlap_left overlap_labelled_sets overlap_count_windows closest_first_tie merge_intervals exons window_mean
-collapse_by_size_with_gap qualitative_sites quantitative_sites position_classes exon_lists site_abundance top_sites pair_routes
-alignments_to_sites flag_statistics richness shannon_harmonic broken_stick auc_gene_density roc_curve score_density base_composition
-prefix_required linker_r2_split r2_tail_trimmed demux_counts run_summary read_funnel site_matrix gamma_functions""".split()
-NAMES = list(entry.queries()) if os.environ.get("LOCUSFLOW_ALL_QUERIES") else SAMPLE
+entry.queries()  # fills the registry
+NAMES = [name for name, (_, sql) in REGISTRY.items() if sql]
 
 
 @pytest.fixture(scope="module")
