@@ -59,21 +59,58 @@ STRICT = {
     "iban": r"^[A-Z]{2}[0-9]{2}( [A-Z0-9]{4})+( [A-Z0-9]{1,3})?$|^[A-Z0-9]+$",
 }
 LABELERS = ("strict", "gazetteer", "context", "edges")
-_EMPTY = "array<struct<start:int, end:int, value:string>>"
+_EMPTY = "array<struct<start:int, end:int, value:string, before:string, after:string>>"
+BLOCK = 256  # matches whose places are added up one after the other
+CONTEXT_CHARS = 32
 
 
-def _matches(text: Column, pattern: str, needs: Column) -> Column:
-    """All matches with their places, from the pieces between them and their lengths."""
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rows = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("p"), found.alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_EMPTY).alias("out"))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
 
-    def add(acc, x):
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.array_append(acc["out"], F.struct(s.alias("start"), e.alias("end"), x["m"].alias("value"))).alias("out"))
+def _matches(text: Column, pattern: str, needs: Column) -> Column:
+    """All matches with their places, up to 32 characters ``before`` them and the one ``after``.
 
-    return F.when(needs, F.aggregate(rows, start, add, lambda acc: acc["out"])).otherwise(F.array().cast(_EMPTY))
+    Places are sums of the lengths of matches and of the pieces between them, first within blocks of 256 matches, then
+    over the blocks: a list grows by a copy, so one long list would cost the square of its length. What stands before a
+    match is taken from the pieces, not from the text.
+    """
+    last = lambda x: F.right(x, F.lit(CONTEXT_CHARS))
+
+    def block(rows, b):
+        lead = F.slice(rows, F.greatest(b * BLOCK - CONTEXT_CHARS + 1, F.lit(1)), F.least(F.lit(CONTEXT_CHARS), b * BLOCK))
+        start = F.struct(F.lit(0).alias("at"), last(F.array_join(F.transform(lead, lambda x: F.concat(x["p"], x["m"])), "")).alias("tail"),
+                         F.array().cast(_EMPTY).alias("out"))
+
+        def add(acc, x):
+            s = acc["at"] + F.length(x["p"])
+            e = s + F.length(x["m"])
+            before = last(F.concat(acc["tail"], x["p"]))
+            found = F.struct(s.alias("start"), e.alias("end"), x["m"].alias("value"), before.alias("before"), x["after"].alias("after"))
+            return F.struct(e.alias("at"), last(F.concat(before, x["m"])).alias("tail"), F.array_append(acc["out"], found).alias("out"))
+
+        return F.aggregate(F.slice(rows, b * BLOCK + 1, F.lit(BLOCK)), start, add, lambda acc: F.struct(acc["at"].alias("size"), acc["out"].alias("out")))
+
+    def placed(blocks):
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        offsets = F.aggregate(blocks, start, lambda acc, x: F.struct((acc["at"] + x["size"]).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
+                              lambda acc: acc["out"])
+        moved = lambda s, at: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["value"].alias("value"),
+                                       s["before"].alias("before"), s["after"].alias("after"))
+        return F.flatten(F.zip_with(blocks, offsets, lambda x, at: F.transform(x["out"], lambda s: moved(s, at))))
+
+    def spans(cut):
+        n = F.size(cut["m"])
+        following = F.slice(F.concat(F.slice(cut["m"], F.lit(2), n), F.array(F.lit(""))), F.lit(1), n)
+        rows = F.zip_with(F.zip_with(F.slice(cut["p"], F.lit(1), n), cut["m"], lambda p, m: F.struct(p.alias("p"), m.alias("m"))),
+                          F.zip_with(F.slice(cut["p"], F.lit(2), n), following, lambda p, m: F.left(F.concat(p, m), F.lit(1))),
+                          lambda x, after: F.struct(x["p"].alias("p"), x["m"].alias("m"), after.alias("after")))
+        blocks = lambda rows: F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda b: block(rows, b))
+        return F.when(n > 0, _let(rows, lambda r: _let(blocks(r), placed))).otherwise(F.array().cast(_EMPTY))
+
+    cut = F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+    return F.when(needs, _let(cut, spans)).otherwise(F.array().cast(_EMPTY))
 
 
 def _digits(value: Column) -> Column:
@@ -103,11 +140,9 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _votes(kind: str, text: Column, span: Column) -> Column:
+def _votes(kind: str, span: Column) -> Column:
     """One vote for each labeler: 1 personal, -1 not, 0 no opinion."""
-    before = F.substring(text, F.greatest(span["start"] - 31, F.lit(1)), F.least(span["start"], F.lit(32)))
-    left = F.when(span["start"] == 0, F.lit("")).otherwise(F.substring(text, span["start"], F.lit(1)))
-    right = F.substring(text, span["end"] + 1, F.lit(1))
+    before, left, right = span["before"], F.right(span["before"], F.lit(1)), span["after"]
     sign = lambda yes: F.when(yes, 1).otherwise(-1)
     votes = (sign(span["value"].rlike(STRICT[kind])), sign(span["value"].rlike(GAZETTEER[kind])),
              F.when(before.rlike(CONTEXT[kind]), 1).otherwise(0), sign(~left.rlike("[A-Za-z0-9]") & ~right.rlike("[A-Za-z0-9]")))
@@ -121,7 +156,7 @@ def find_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digit", F.col("text").rlike("[0-9][ .()-]?[ .()-]?[0-9]"))
     t = F.col("text")
     rows = rows.withColumns({f"m_{k}": _matches(t, p, t.contains(_NEEDS[k]) if k in _NEEDS else F.col("digit")) for k, p in (BASE | MORE).items()})
-    voted = lambda kind, spans: F.transform(spans, lambda s: _votes(kind, t, s))
+    voted = lambda kind, spans: F.transform(spans, lambda s: _votes(kind, s))
     passing = lambda kind: F.filter(f"m_{kind}", lambda s: _valid(kind, s["value"]))
     return rows.select("id", F.concat(*[voted(k, passing(k)) for k in BASE]).alias("base"),
                        F.concat(*[voted(k, F.col(f"m_{k}")) for k in MORE]).alias("more"))

@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from locusflow.llm import personal
 
@@ -60,3 +63,24 @@ def test_reliabilities_of_planted_votes():
     assert all(abs(a - b) < 0.05 for a, b in zip(model["accuracy"], truth, strict=True))
     w = personal.train_span_classifier(patterns, model["posterior"])
     assert w[0] > w[1] > w[2] > w[3] > 0
+
+
+def test_many_matches_in_one_text_cost_linear_time(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    n = 100_000
+    text = " ".join(f"mail a{i}@b.com" for i in range(n))
+    began = time.time()
+    row = personal.scan_personal(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert time.time() - began < 120 and row.n_email == n
+    spans = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"a\d+@b\.com", text)]
+    assert row.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+
+
+def test_places_and_surroundings_over_block_borders(spark):
+    rng = random.Random(4)
+    text = "".join(rng.choice(["x1@y.de", "1.2.3.4", " ", "é", "call ", "ab", "-"]) for _ in range(20_000))
+    for kind in ("email", "ip", "card"):
+        got = spark.createDataFrame([(text,)], "t string").select(personal._matches(F.col("t"), personal.BASE[kind], F.lit(True)).alias("m")).first().m
+        assert len(got) > 300
+        for m in got:
+            assert text[m.start:m.end] == m.value and m.before == text[max(0, m.start - 32):m.start] and m.after == text[m.end:m.end + 1]
