@@ -46,7 +46,7 @@ class Tier(dict):
     ``limit`` entries are held; ``base`` is always there.
     """
 
-    def __init__(self, compute, base: dict | None = None, limit: int = 400_000, longest: int = 64):
+    def __init__(self, compute, base: dict | None = None, limit: int = 200_000, longest: int = 64):
         super().__init__(base or {})
         self.compute, self.base, self.limit, self.longest, self.older = compute, base or {}, limit, longest, {}
 
