@@ -556,3 +556,14 @@ def test_an_adapter_is_searched_once_for_each_rule(spark):
     pairs = spark.createDataFrame([("r", "ACGT", "IIII", "ACGT", "IIII")], "read_id string, r1_seq string, r1_qual string, r2_seq string, r2_qual string")
     plan = rd.require_elongation(rd.require_ltr(pairs))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 2 and plan.count("find(") == 2
+
+
+def test_scans_fold_no_frame_anew_for_every_row(spark):
+    from locusflow.operators.scaling import tiled_scan
+    rows = spark.range(200).selectExpr("'a' AS k", "id AS pos", "id div 64 AS tile", "(id * 37) % 101 AS v")
+    scanned = tiled_scan(rows, ["k"], "tile", ["pos"], {"least": ("min", F.col("v"), "after"), "most": ("max", F.col("v"), "before")})
+    values = [i * 37 % 101 for i in range(200)]
+    got = {r.pos: (r.least, r.most) for r in scanned.collect()}
+    assert got == {i: (min(values[i + 1:], default=None), max(values[:i], default=None)) for i in range(200)}
+    # a frame up to unbounded following costs the square of its rows
+    assert "unboundedfollowing" not in scanned._jdf.queryExecution().toString().lower()
