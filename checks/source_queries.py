@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import duck, view
 from checks.registry import query
-from locusflow.operators.scaling import checkpoint_folder
+from locusflow.operators.scaling import checkpoint_folder, checkpointed
 from locusflow.sources import fastq, sinks, text
 
 
@@ -23,7 +23,8 @@ def _lines(df, *columns, sep: str = "\t") -> str:
 
 @query("fastq_pairs", duck("SELECT read_id, r1_seq, r1_qual, r2_seq, r2_qual FROM fx_reads", "fx_reads"))
 def fastq_pairs(spark, d):
-    reads, folder = view(spark, d, "fx_reads"), _folder(spark)
+    # landed once: rows of a shuffle come in another order, and partitions in another number, each time it is read
+    reads, folder = checkpointed(view(spark, d, "fx_reads")), _folder(spark)
     for mate in ("r1", "r2"):
         sinks.write_fastq(reads.select("read_id", F.col(f"{mate}_seq").alias("seq"), F.col(f"{mate}_qual").alias("qual")), f"{folder}/{mate}")
     return fastq.read_fastq_pairs(spark, f"{folder}/r1/part-*", f"{folder}/r2/part-*").drop("sample", "tag", "lane")

@@ -2,6 +2,7 @@ import gzip
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from locusflow.operators import intervals as iv
 from locusflow.sources import fastq, sinks, text
@@ -196,3 +197,14 @@ def test_wiggle_ranges_of_any_size_give_the_same_signal(spark, tmp_path, split):
     want = [("t", "chr1", 10 + 10 * i, 15 + 10 * i, i / 4) for i in range(n) if i % 5]
     want += [("t", "chr2", 99 + 7 * i, 102 + 7 * i, float(i)) for i in range(n)] + [("t", "chr3", i, i + 1, float(i)) for i in range(n)]
     assert sorted(map(tuple, fastq.read_wig(spark, f"{tmp_path}/*.wig", split=split).collect())) == sorted(want)
+
+
+def test_mates_are_written_in_step_when_rows_come_in_another_order_each_time(spark, monkeypatch):
+    from checks import source_queries
+    chance = F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+    rows = [(f"r{i}", "ACGT" * (1 + i % 3), "IIII" * (1 + i % 3), "GG" + "ACGT" * (i % 2), "55" + "IIII" * (i % 2)) for i in range(200)]
+    columns = ["read_id", "r1_seq", "r1_qual", "r2_seq", "r2_qual"]
+    given = spark.createDataFrame(rows, columns).coalesce(1).withColumn("o", chance()).sortWithinPartitions("o").drop("o")
+    monkeypatch.setattr(source_queries, "view", lambda *_: given)
+    read = source_queries.fastq_pairs(spark, "")
+    assert sorted(map(tuple, read.select(*columns).collect())) == sorted(rows)
