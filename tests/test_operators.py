@@ -567,3 +567,35 @@ def test_scans_fold_no_frame_anew_for_every_row(spark):
     assert got == {i: (min(values[i + 1:], default=None), max(values[:i], default=None)) for i in range(200)}
     # a frame up to unbounded following costs the square of its rows
     assert "unboundedfollowing" not in scanned._jdf.queryExecution().toString().lower()
+
+
+def test_regions_found_by_position_equal_those_found_by_site(spark):
+    from locusflow.operators import annotate as an
+    site = "sample string, chrom string, start0 bigint, end0 bigint, score double, strand string, n_reads bigint"
+    at = [("A", "chr1", 1000), ("B", "chr1", 1000), ("B", "chr1", 1000), ("A", "chr1", 9000), ("A", "chr2", 1000), ("A", None, 1000), (None, "chr1", 4990)]
+    sites = spark.createDataFrame([(s, c, p, p + 1, 3.0, "+", 5) for s, c, p in at], site)
+    model = [("g1", "t1", 900, 5000), ("g1", "t2", 950, 1100), ("g2", "t2", 950, 1100), ("g3", "t3", 1020, 1200), (None, "t4", 990, 1010), ("g1", "t5", 5050, 6000)]
+    tx = spark.createDataFrame([(g, t, "chr1", "+", a, b, 1, [a], [a + 60]) for g, t, a, b in model],
+                               "gene_symbol string, tx_id string, chrom string, strand string, tx_start bigint, tx_end bigint, exon_count int, "
+                               "exon_starts array<bigint>, exon_ends array<bigint>")
+    sets = an.annotation_sets(tx, spark.createDataFrame([("chr1", 100_000)], "chrom string, length bigint"))
+    by_site = an.add_gene_symbol(an.annotate_overlaps(sites, sets), tx)
+    plain = an.classify_position(an.classify_regions(by_site), an.exon_hits(an.intragenic(by_site), tx))
+    hits = an.annotate_overlaps(an.positions(sites), an.add_gene_symbol(sets, tx))
+    regions = an.classify_regions(hits, an.SOURCES)
+    found = an.at_sites(sites, an.classify_position(regions, an.exon_hits(an.intragenic(hits), tx)), ("n_transcripts",))
+    columns = [*plain.columns]
+    assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, plain.collect()))
+    lists = ["sample", "chrom", "start0", "gene_symbol", "part", "parts", "b_name_list.b_name"]
+    one, two = an.at_sites(sites, an.transcript_lists(hits, 1)), an.transcript_lists(by_site, 1)
+    assert sorted(map(str, one.selectExpr(*lists).collect())) == sorted(map(str, two.selectExpr(*lists).collect()))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(kept, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        for df in (an.classify_regions(hits, an.SOURCES), an.transcript_lists(hits)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan[:plan.index("SortMergeJoin")]  # hits stay where they were found
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
