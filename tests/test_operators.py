@@ -599,3 +599,13 @@ def test_regions_found_by_position_equal_those_found_by_site(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_collapsed_and_corrected_tables_keep_the_partitions_of_the_session(spark):
+    from locusflow.operators import fragments as fr
+    rows = [("A", "chr1", i % 9, i % 9 + 1, float(i % 5), "+", 20 + i % 3, 1) for i in range(60)]
+    obs = spark.createDataFrame(rows, "sample string, chrom string, start0 bigint, end0 bigint, score double, strand string, size int, n_reads bigint")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_size = st.collapse_by_size(obs)
+    for df in (by_size, st.collapse_sites(by_size), st.qual_is(st.collapse_sites(by_size)), fr.correct_sizes(fr.fragment_counts(obs))):
+        assert df.rdd.getNumPartitions() == parts  # merging them by packed size makes tasks of any memory
