@@ -573,7 +573,8 @@ def test_regions_found_by_position_equal_those_found_by_site(spark):
     from locusflow.operators import annotate as an
     site = "sample string, chrom string, start0 bigint, end0 bigint, score double, strand string, n_reads bigint"
     at = [("A", "chr1", 1000), ("B", "chr1", 1000), ("B", "chr1", 1000), ("A", "chr1", 9000), ("A", "chr2", 1000), ("A", None, 1000), (None, "chr1", 4990)]
-    sites = spark.createDataFrame([(s, c, p, p + 1, 3.0, "+", 5) for s, c, p in at], site)
+    at += [("A", "chr1", 955), ("N", "chr1", 955)]  # in exons; site N has no score
+    sites = spark.createDataFrame([(s, c, p, p + 1, None if s == "N" else 3.0, "+", 5) for s, c, p in at], site)
     model = [("g1", "t1", 900, 5000), ("g1", "t2", 950, 1100), ("g2", "t2", 950, 1100), ("g3", "t3", 1020, 1200), (None, "t4", 990, 1010), ("g1", "t5", 5050, 6000)]
     tx = spark.createDataFrame([(g, t, "chr1", "+", a, b, 1, [a], [a + 60]) for g, t, a, b in model],
                                "gene_symbol string, tx_id string, chrom string, strand string, tx_start bigint, tx_end bigint, exon_count int, "
