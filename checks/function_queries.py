@@ -116,7 +116,7 @@ SELECT DISTINCT a.* FROM fx_sites a JOIN fx_genes b ON a.chrom = b.chrom AND a.s
 def intragenic_sites(spark, d):
     from locusflow.operators import annotate as an
     sets = iv.label_sets(gene_body=view(spark, d, "fx_genes"))
-    return an.intragenic(an.annotate_overlaps(view(spark, d, "fx_sites"), sets))
+    return an.intragenic(an.annotate_overlaps(view(spark, d, "fx_sites"), sets, per=["source"]))
 
 
 @query("tss_distance", duck("""

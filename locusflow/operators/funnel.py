@@ -139,10 +139,10 @@ def top_genes(annotated: DataFrame, min_count: int = 50, n: int = 200) -> DataFr
     return rows.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Counts of two factors with expected counts and Pearson residuals."""
+def contingency(df: DataFrame, a: str, b: str, n: str | None = None) -> DataFrame:
+    """Counts of two factors with expected counts and Pearson residuals; ``n`` names a column that tells how often a row counts."""
     runs = run_keys(df)
-    cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*runs, a, b).agg(F.count(F.lit(1)).alias("observed"))
+    cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*runs, a, b).agg((F.sum(n) if n else F.count(F.lit(1))).alias("observed"))
     # a cell table has as many rows as pairs of levels
     over = lambda *c: F.sum("observed").over(W.partitionBy(*runs, *c) if runs or c else W.partitionBy(F.lit(0)))
     expected = over(a) * over(b) / over()

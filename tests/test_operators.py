@@ -610,3 +610,36 @@ def test_collapsed_and_corrected_tables_keep_the_partitions_of_the_session(spark
     by_size = st.collapse_by_size(obs)
     for df in (by_size, st.collapse_sites(by_size), st.qual_is(st.collapse_sites(by_size)), fr.correct_sizes(fr.fragment_counts(obs))):
         assert df.rdd.getNumPartitions() == parts  # merging them by packed size makes tasks of any memory
+
+
+# ---- overlaps counted per label ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_overlaps_of_points_are_counted_per_label_without_pairs(spark, how):
+    rng = random.Random(3)
+    chroms = ["c1", "c2", None]
+    sites = [("S", rng.choice(chroms), p, p + 1, rng.choice("+-")) for p in rng.choices(range(140_000), k=300)] + [("S", "c3", 5, 6, "+"), ("S", "c1", None, None, "+")] * 2
+    features = [(rng.choice(chroms), s, s + rng.choice([0, 1, 700, 80_000]), rng.choice(["x", "y", None])) for s in rng.choices(range(140_000), k=200)]
+    a = spark.createDataFrame(sites, "sample string, chrom string, start0 bigint, end0 bigint, strand string")
+    b = spark.createDataFrame(features, "chrom string, start0 bigint, end0 bigint, source string")
+    pairs = iv.overlap_join(a.withColumn("i", F.monotonically_increasing_id()), b, how, points=True)
+    counted = iv.overlap_join(a, b, how, points=True, per=["source"])
+    expected = pairs.groupBy("i", *a.columns, "b_source").agg(F.count("b_start0").alias("n_pairs")).drop("i")
+    plain = lambda df: sorted(map(repr, map(tuple, df.select(*a.columns, "b_source", "n_pairs").collect())))
+    assert plain(counted) == plain(expected) and any(r.n_pairs > 1 for r in counted.collect())
+    assert "b_start0" not in counted._jdf.queryExecution().executedPlan().toString()  # no pair is formed
+
+
+def test_contingency_and_sources_come_from_counted_overlaps(spark):
+    from locusflow.operators import annotate as an
+
+    sites = spark.createDataFrame([("S", "c", 10, 11, 1.0, "+", 1), ("S", "c", 20, 21, 1.0, "-", 1), ("S", "c", 900, 901, 1.0, "-", 1)],
+                                  "sample string, chrom string, start0 bigint, end0 bigint, score double, strand string, n_reads bigint")
+    genes = spark.createDataFrame([("c", 0, 15, "g", "+")] * 3 + [("c", 5, 30, "h", "-")], "chrom string, start0 bigint, end0 bigint, name string, strand string")
+    table = lambda df: rows(df.select("strand", "b_strand", "observed", F.round("residual", 6)))
+    plain = table(fn.contingency(iv.overlap_join(sites, genes, points=True), "strand", "b_strand"))
+    assert plain == table(fn.contingency(iv.overlap_join(sites, genes, points=True, per=["strand"]), "strand", "b_strand", "n_pairs"))
+    hits = an.annotate_overlaps(sites, iv.label_sets(gene_body=genes), per=["source"])
+    assert rows(hits.select("start0", "b_source", "n_pairs")) == [(10, "gene_body", 4), (20, "gene_body", 1), (900, None, 0)]
+    assert rows(an.intragenic(hits).select("start0")) == [(10,), (20,)]
