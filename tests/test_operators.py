@@ -643,3 +643,41 @@ def test_contingency_and_sources_come_from_counted_overlaps(spark):
     hits = an.annotate_overlaps(sites, iv.label_sets(gene_body=genes), per=["source"])
     assert rows(hits.select("start0", "b_source", "n_pairs")) == [(10, "gene_body", 4), (20, "gene_body", 1), (900, None, 0)]
     assert rows(an.intragenic(hits).select("start0")) == [(10,), (20,)]
+
+
+# ---- equal texts are located once --------------------------------------------------------------
+
+
+def test_equal_pairs_are_located_once_and_repeated_names_stand_for_themselves(spark, monkeypatch):
+    rng = random.Random(8)
+    genome = "".join(rng.choice("ACGT") for _ in range(1500))
+    index = lc.genome_index(gn.chunked(spark.createDataFrame([("g", genome)], "chrom string, seq string"), 256), 256)
+    back = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    pair = lambda name, p, run="S": (run, name, genome[p:p + 50], "I" * 50, back(genome[p + 150:p + 200]), name[0] * 50)
+    data = [pair("a", 100), pair("b", 100), pair("c", 100, "S2"), pair("d", 700), pair("e", 900), pair("e", 1100)]
+    df = spark.createDataFrame(data, "sample string, read_id string, r1_seq string, r1_qual string, r2_seq string, r2_qual string")
+    asked, every = [], lc.all_hits
+    monkeypatch.setattr(lc, "all_hits", lambda reads, *more, **named: (asked.append(reads.count()), every(reads, *more, **named))[1])
+    got = sorted((r.sample, r.qname, r.pos1, r.flag, r.qual[0]) for r in lc.locate_pairs(df, index, trim3=0).collect() if r.qname != "e")
+    assert asked == [4, 4]  # one of a, b and c, then d and both rows of e
+    assert got == sorted((s, n, p + 1 + 150 * (f == 147), f, "I" if f == 99 else n) for s, n, p in (("S", "a", 100), ("S", "b", 100), ("S2", "c", 100), ("S", "d", 700)) for f in (99, 147))
+
+
+def test_best_placements_are_the_first_of_all_in_order(spark):
+    genome = "".join(random.Random(2).choices("ACGT", k=200))
+    table = gn.chunked(spark.createDataFrame([(c, genome) for c in "pqrs"], "chrom string, seq string"), 128)
+    index = lc.genome_index(table, 128)
+    reads = spark.createDataFrame([("x", genome[20:60], 1), ("y", genome[20:60], 1), ("z", genome[90:150], 1)], "qname string, seq string, n_reads long")
+    place = lambda df: rows(df.select("qname", "chrom", "start0", "as_score", "md"))
+    every, best = place(lc.all_hits(reads, index)), place(lc.all_hits(reads, index, best=2))
+    assert len(every) == 12 and best == [r for r in every if r[1] in "pq"]
+
+
+def test_seeds_of_genomes_beyond_ascii_and_of_short_ends(spark):
+    texts = {"a": "ACGTTGCAACGTACGTTTGCAAGC" * 3, "b": "ACGÜTGCAACGTACGTTTGCAAGCATTACG", "c": "ACGTACGTACGTACGTA", "d": "ACGT"}
+    table = gn.chunked(spark.createDataFrame([*texts.items()], "chrom string, seq string"), 64)
+    got = sorted((r.chrom, r.pos, r.rest) for r in lc.kmer_seeds(table).collect())
+    want = sorted((c, i, t[i + k:i + w]) for c, t in texts.items() for k, w in ((19, 37), (15, 18)) for i in range(len(t) - k + 1))
+    assert got == want
+    asked = lc._segments(lc._oriented(spark.createDataFrame([(texts["b"][:20],)], "_s string")), lc.K).filter("strand = '+'").first()
+    assert [r.pos for r in lc.kmer_seeds(table).filter(F.col("kmer") == asked.kmer).collect()] == [0]
