@@ -48,8 +48,8 @@ def _byte_rows(texts: list[bytes], left: int, right: int):
                 break
             stop, width = stop + 1, wider
         block = np.zeros((stop - start, left + width + right), dtype=np.uint8)
-        for i, t in enumerate(texts[start:stop]):
-            block[i, left:left + len(t)] = np.frombuffer(t, dtype=np.uint8)
+        lengths = np.fromiter(map(len, texts[start:stop]), np.int64, stop - start)
+        block[:, left:left + width][np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join(texts[start:stop]), dtype=np.uint8)
         yield start, stop, width, block
         start = stop
 
@@ -78,26 +78,24 @@ def adapter_match(seq, adapter: str, end: str, min_overlap: int, error_rate: flo
             start, stop, errors = np.full((3, len(texts)), -1, dtype=np.int32)
             for lo, hi, width, block in _byte_rows(texts, left, right):
                 lengths = np.array([len(t) for t in texts[lo:hi]], dtype=np.int32)
-                places = left + width
-                wrong = np.zeros((hi - lo, places), dtype=np.int16)
-                for j in range(m):
-                    cells = block[:, j:j + places]
-                    wrong += (cells != pattern[j]) & (cells != 0)
+                places, within = left + width, block != 0
+                differ = {base: ((block != base) & within).view(np.uint8) for base in set(pattern.tolist())}
+                wrong = np.zeros((hi - lo, places), dtype=np.uint8 if m < 256 else np.uint16)
+                for j, base in enumerate(pattern.tolist()):
+                    wrong += differ[base][:, j:j + places]
                 at = np.arange(places, dtype=np.int32) - left
-                overlap = np.minimum(at[None, :] + m, lengths[:, None]) - np.maximum(at, 0)[None, :]
-                overlap = np.clip(overlap, 0, m)
-                valid = (overlap >= min_overlap) & (wrong <= allowed[overlap])
-                if end == "5p":
-                    # at the far end of the read only a whole adapter counts
-                    valid &= (at[None, :] + m) <= lengths[:, None]
-                score = np.where(valid, (overlap - wrong).astype(np.int64) * (m + 1) - wrong, -1 << 40)
-                best = score.argmax(axis=1)
-                rows = np.arange(hi - lo)
-                found = valid[rows, best]
-                first = np.maximum(at[best], 0)
-                start[lo:hi] = np.where(found, first, -1)
-                stop[lo:hi] = np.where(found, first + overlap[rows, best], -1)
-                errors[lo:hi] = np.where(found, wrong[rows, best], -1)
+                # at the far end of the read only a whole adapter counts for 5p
+                last = lengths - (m if end == "5p" else min_overlap)
+                row, place = np.nonzero((wrong <= allowed[m]) & (at[None, :] <= last[:, None]))
+                first = np.maximum(at[place], 0)
+                overlap, errs = np.minimum(at[place] + m, lengths[row]) - first, wrong[row, place].astype(np.int64)
+                valid = (overlap >= min_overlap) & (errs <= allowed[np.clip(overlap, 0, m)])
+                row, first, overlap, errs = row[valid], first[valid], overlap[valid], errs[valid]
+                # the best place of each row, the leftmost of equal ones
+                order = np.lexsort((first, errs - (overlap - errs) * (m + 1), row))
+                order = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+                found = lo + row[order]
+                start[found], stop[found], errors[found] = first[order], first[order] + overlap[order], errs[order]
             all_rows[:, asked] = start, stop, errors
             yield pd.DataFrame(dict(zip(("start", "stop", "errors"), all_rows, strict=True)))
 
@@ -110,6 +108,26 @@ def adapter_match(seq, adapter: str, end: str, min_overlap: int, error_rate: flo
     return F.get(F.filter(F.array(hit), lambda h: h["start"] >= 0), F.lit(0))
 
 
+def quality_summary(qual) -> Column:
+    """``struct(lo, hi, total, n)``: least, greatest and summed Phred quality (base 33) and number of signs; NULL for no text."""
+
+    def summed(batches):
+        for series in batches:
+            sizes = series.str.len().to_numpy(np.int64)
+            codes = np.frombuffer("".join(series).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) - 33
+            out, some = np.zeros((4, len(series)), np.int64), np.flatnonzero(sizes)
+            if len(some):
+                at = (np.cumsum(sizes) - sizes)[some]
+                out[:3, some] = np.minimum.reduceat(codes, at), np.maximum.reduceat(codes, at), np.add.reduceat(codes, at)
+            out[3] = sizes
+            yield pd.DataFrame(dict(zip(("lo", "hi", "total", "n"), out, strict=True)))
+
+    from collections.abc import Iterator
+    summed.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    result = F.pandas_udf(summed, T.StructType([T.StructField(c, T.LongType()) for c in ("lo", "hi", "total", "n")]))
+    return F.when(_col(qual).isNotNull(), result.asNondeterministic()(F.coalesce(_col(qual), F.lit(""))))
+
+
 def quality_keep(qual, cutoff: int = 20, base: int = 33) -> Column:
     """Bases kept by 3' quality trimming: the read is cut where the running sum of (cutoff - quality) from
     its end is greatest, looking no further than where the sum turns negative."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from locusflow.functions.sequence import has_flag, revcomp
+from locusflow.functions.sequence import has_flag, quality_summary, revcomp
 from locusflow.operators.sites import with_interval
 from locusflow.schema import run_keys
 
@@ -107,12 +107,12 @@ def fastq_stats(reads: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Read count, length range and mean, base and quality statistics, one column per metric; missing ones are 0."""
     size = F.length("seq")
     groups = [*run_keys(reads), *by]
-    quals = F.transform(F.regexp_extract_all("qual", F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c) - 33)
+    some = lambda c: F.when(F.col("_q.n") > 0, F.col(f"_q.{c}")).cast("int")
     count = lambda b: F.coalesce(F.sum(size - F.length(F.translate("seq", b, ""))), F.lit(0)).cast("bigint")
-    return (reads.groupBy(*groups)
+    return (reads.select(*groups, "seq", quality_summary("qual").alias("_q")).groupBy(*groups)
             .agg(F.count(F.lit(1)).alias("reads"), F.min(size).alias("len_min"), F.max(size).alias("len_max"),
                  F.avg(size).alias("len_mean"), F.sum(size).cast("bigint").alias("total_bases"),
-                 F.min(F.array_min(quals)).alias("qual_min"), F.max(F.array_max(quals)).alias("qual_max"),
-                 F.try_divide(F.sum(F.aggregate(quals, F.lit(0), lambda total, q: total + q)), F.sum(F.size(quals))).alias("qual_mean"),
+                 F.min(some("lo")).alias("qual_min"), F.max(some("hi")).alias("qual_max"),
+                 F.try_divide(F.sum("_q.total"), F.sum("_q.n")).alias("qual_mean"),
                  *[count(b).alias(f"n_{b}") for b in "ACGTN"])
             .na.fill(0))

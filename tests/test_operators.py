@@ -681,3 +681,43 @@ def test_seeds_of_genomes_beyond_ascii_and_of_short_ends(spark):
     assert got == want
     asked = lc._segments(lc._oriented(spark.createDataFrame([(texts["b"][:20],)], "_s string")), lc.K).filter("strand = '+'").first()
     assert [r.pos for r in lc.kmer_seeds(table).filter(F.col("kmer") == asked.kmer).collect()] == [0]
+
+
+# ---- searches in Arrow batches -----------------------------------------------------------------
+
+
+def test_adapter_search_by_brute_force(spark):
+    rng = random.Random(4)
+    adapter = "AGTCCCTTAAGCGGAGCCCT"
+    texts = [None, "", "N" * 9]
+    for _ in range(250):
+        body, end = ("".join(rng.choice("ACGT") for _ in range(rng.randrange(60))) for _ in range(2))
+        part = "".join(c if rng.random() > 0.08 else rng.choice("ACGTN") for c in adapter)
+        texts.append(rng.choice([body, body + part[:rng.randint(1, 20)], part[-rng.randint(1, 20):] + body, body + part + end]))
+
+    def plain(t, end, low, rate):
+        best = None
+        for at in range(-len(adapter) + 1, len(t)):
+            if (at < 0 and end == "3p") or (end == "5p" and at + len(adapter) > len(t)):
+                continue
+            a, b = max(at, 0), min(at + len(adapter), len(t))
+            wrong = sum(x != y for x, y in zip(t[a:b], adapter[a - at:b - at], strict=True))
+            if b - a >= low and wrong <= int(rate * (b - a) + 1e-9) and (best is None or (b - a - wrong, -wrong) > best[0]):
+                best = ((b - a - wrong, -wrong), (a, b, wrong))
+        return best and best[1]
+
+    df = spark.createDataFrame([*enumerate(texts)], "i int, s string")
+    for end, low, rate in (("5p", 20, 0.16), ("3p", 8, 0.2), ("5p", 8, 0.1)):
+        got = {r.i: r.m and tuple(r.m) for r in df.select("i", sq.adapter_match("s", adapter, end, low, rate).alias("m")).collect()}
+        assert got == {i: plain(t or "", end, low, rate) for i, t in enumerate(texts)}
+
+
+def test_quality_summary_of_texts_nulls_and_empty_ones(spark):
+    df = spark.createDataFrame([(0, "I5+B"), (1, ""), (2, None), (3, "!~"), (4, "é")], "i int, q string")
+    got = {r.i: r.s and tuple(r.s) for r in df.select("i", sq.quality_summary("q").alias("s")).collect()}
+    assert got == {0: (10, 40, 103, 4), 1: (0, 0, 0, 0), 2: None, 3: (0, 93, 93, 2), 4: (200, 200, 200, 1)}
+    from locusflow.operators import align
+    stats = align.fastq_stats(df.withColumnRenamed("q", "qual").withColumn("seq", F.lit("ACGN")))
+    row = stats.first()
+    assert (row.reads, row.qual_min, row.qual_max, round(row.qual_mean, 6)) == (5, 0, 200, round(396 / 7, 6))
+    assert "regexp_extract_all" not in stats._jdf.queryExecution().executedPlan().toString()
