@@ -94,9 +94,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
 
     def scan(batches):
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-            for a, b in words.chunks(texts, 1 << 20):
-                hashes, _, at = shingles(texts[a:b], size)
+            for a, b, texts in words.slices(batch.column(2), 1 << 20):
+                hashes, _, at = shingles(texts, size)
                 doc = np.repeat(np.arange(b - a), np.diff(at))
                 mixed = words.mix(hashes + _U(_GOLD))
                 two = np.zeros((b - a, 2), _U)
@@ -129,7 +128,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> Dat
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-                [squeeze((t or "").encode()) for t in batch.column(2).to_pylist()], pa.binary())], ["id2", "th2", "packed"])
+                [squeeze(t) for _, _, texts in words.slices(batch.column(2)) for t in texts], pa.binary())], ["id2", "th2", "packed"])
 
     packed = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
               .mapInArrow(pack, f"id2 {kind}, th2 bigint, packed binary"))

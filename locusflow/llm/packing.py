@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from locusflow.llm import tokens
+from locusflow.llm import tokens, words
 
 TIERS = (512, 1024, 2048, 4096)
 _SCHEMA = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
@@ -115,13 +115,14 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = lookup(text or "") + end
-                held.append((key, ids))
-                total += len(ids) // 4
-                if total >= block_tokens:
-                    yield out(flush())
-                    held, total = [], 0
+            for a, b, texts in words.slices(batch.column(1)):
+                for key, text in zip(batch.column(0).slice(a, b - a).to_pylist(), texts, strict=True):
+                    ids = lookup(text.decode()) + end
+                    held.append((key, ids))
+                    total += len(ids) // 4
+                    if total >= block_tokens:
+                        yield out(flush())
+                        held, total = [], 0
         if held:
             yield out(flush())
 

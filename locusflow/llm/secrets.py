@@ -10,6 +10,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from locusflow.llm import words
 from locusflow.operators.scaling import Landing, checkpointed
 
 # The kinds in their order, and their patterns.
@@ -71,7 +72,8 @@ def find_candidates(docs: DataFrame, id_col: str, owner_col: str, text_col: str)
 
     def scan(batches):
         for batch in batches:
-            columns = list(zip(*[one(t) for t in batch.column(3).to_pylist()], strict=True)) or [()] * 5
+            rows = [one(t.decode()) for _, _, texts in words.slices(batch.column(3)) for t in texts]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], *[pa.array(c, t) for c, t in zip(columns, (*[pa.int64()] * 3, pa.string(), pa.list_(struct)), strict=True)]],
                 ["row", "id", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "found"])

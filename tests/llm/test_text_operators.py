@@ -5,6 +5,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,22 @@ def test_opaque_strings_beside_many_spans_cost_linear_time():
     few = secrets.candidates(text[:4000])
     taken = [c for c in few if c[0] != "opaque"]
     assert not any(a[1] < b[2] and b[1] < a[2] for a in few if a[0] == "opaque" for b in taken)
+
+
+def test_a_batch_is_read_by_slices():
+    texts = ["", None, "é" * 10, "a" * 50, "b", None, "c" * 7, ""]
+    whole = pa.array(["x", *texts]).slice(1)  # a column that starts inside its buffers
+    for column in (whole, whole.cast(pa.large_string())):
+        for size in (1, 8, 20, 1000):
+            got = list(words.slices(column, size))
+            assert [t.decode() for _, _, part in got for t in part] == [t or "" for t in texts]
+            assert [a for a, _, _ in got] == [0, *[b for _, b, _ in got][:-1]] and got[-1][1] == len(texts)
+            assert all(sum(map(len, part)) <= size or sum(map(bool, part)) == 1 for _, _, part in got)
+    assert not list(words.slices(pa.array([], pa.string()))) and len(list(words.slices(pa.array([None, ""])))) == 1
+
+
+def test_features_follow_from_one_text_alone():
+    # the last word of one text is the first of the next: no repeat, wherever a batch is cut
+    together, _, doc = quality.features([b"one two", b"two three"])
+    for i, t in enumerate((b"one two", b"two three")):
+        assert np.array_equal(np.sort(together[doc == i]), np.sort(quality.features([t])[0]))
