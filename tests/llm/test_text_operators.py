@@ -174,8 +174,12 @@ def test_a_batch_is_read_by_slices():
     assert not list(words.slices(pa.array([], pa.string()))) and len(list(words.slices(pa.array([None, ""])))) == 1
 
 
-def test_features_follow_from_one_text_alone():
-    # the last word of one text is the first of the next: no repeat, wherever a batch is cut
-    together, _, doc = quality.features([b"one two", b"two three"])
-    for i, t in enumerate((b"one two", b"two three")):
-        assert np.array_equal(np.sort(together[doc == i]), np.sort(quality.features([t])[0]))
+def test_features_of_pieces_are_those_of_the_whole():
+    texts = ["", "a b " * 40_000 + "end", "", "end of it", None, "x" * 300_000, "x", "it it is", "--", "is"]
+    whole = quality.features([(t or "").encode() for t in texts])
+    pieces = list(quality._pieces(pa.array(texts)))
+    assert len(pieces) > 2 and max(sum(map(len, p[2])) for p in pieces if len(p[2]) > 1) <= 1 << 18
+    for a, b, part, before in pieces:
+        slots, values, doc = quality.features(part, before)
+        for i in range(a, b):
+            assert np.array_equal(slots[doc == i - a], whole[0][whole[2] == i]) and np.array_equal(values[doc == i - a], whole[1][whole[2] == i])
