@@ -602,6 +602,39 @@ def test_regions_found_by_position_equal_those_found_by_site(spark):
             spark.conf.set(k, v)
 
 
+def test_annotation_by_lists_equals_annotation_by_pairs_without_shuffling_hits(spark):
+    from locusflow.operators import annotate as an
+    rng = random.Random(12)
+    site = "sample string, chrom string, start0 bigint, end0 bigint, score double, strand string, n_reads bigint"
+    at = [("c1", p) for p in rng.sample(range(4096), 2500)] + [(rng.choice(["c1", "c2", None]), p) for p in rng.choices(range(20_000), k=300)] + [("c1", None)] * 3
+    rows_in = [(rng.choice(["A", "B"]), c, p, None if p is None else p + 1, rng.choice([1.0, 2.0, None]), rng.choice("+-"), 2) for c, p in at]
+    sites = spark.createDataFrame(rows_in + rows_in[::7], site)
+    starts = [rng.randrange(0, 20_000) for _ in range(40)]
+    model = [(rng.choice(["g1", "g2", "g3", None]), rng.choice([f"t{i}", "t0", None]), rng.choice(["c1", "c1", "c2", None]), rng.choice("+-"), a, a + rng.choice([0, 30, 900, 9000]))
+             for i, a in enumerate(starts)]
+    tx = spark.createDataFrame([(g, t, c, s, a, b, 2, [a, a + 20], [a + 10, a + 400]) for g, t, c, s, a, b in model],
+                               "gene_symbol string, tx_id string, chrom string, strand string, tx_start bigint, tx_end bigint, exon_count int, exon_starts array<bigint>, exon_ends array<bigint>")
+    sets = an.add_gene_symbol(an.annotation_sets(tx, spark.createDataFrame([("c1", 20_000), ("c2", 20_000)], "chrom string, length bigint")), tx)
+    abundance = sites.select("sample", st.site_id().alias("is_id")).distinct().withColumn("theta", F.length("is_id"))
+    pairs = an.annotate_overlaps(an.positions(sites), sets)
+    lists = lambda found, *more: an.annotate_overlaps(an.positions(sites, True, *more), sets, found=found)
+    plain = an.at_sites(sites, an.classify_position(an.classify_regions(pairs, an.SOURCES), an.exon_hits(an.intragenic(pairs), tx)), ("n_transcripts",))
+    inside = an.intragenic(lists("counts", abundance))
+    found = an.at_sites(sites, an.classify_position(an.classify_regions(an.exon_hits(inside, tx), an.SOURCES)), ("n_transcripts",))
+    shown = lambda df, columns: sorted(map(str, df.select(*columns).collect()))
+    with_theta = an.join_abundance(plain, abundance)
+    assert shown(found, [*plain.columns, "theta"]) == shown(with_theta, [*plain.columns, "theta"])
+    assert shown(an.at_sites(sites, an.classify_regions(lists("counts"), an.SOURCES), ("n_transcripts",)), plain.columns[:-2]) == shown(plain, plain.columns[:-2])
+    for size in (1000, 1):
+        one, two = an.at_sites(sites, an.transcript_lists(lists("names"), size)), an.at_sites(sites, an.transcript_lists(pairs, size))
+        assert shown(one, two.columns) == shown(two, two.columns) and any(r.parts > 1 for r in one.collect()) == (size == 1)
+        one = an.at_sites(sites, an.exon_lists(an.exon_hits(an.intragenic(lists("counts")), tx, "names"), size))
+        two = an.at_sites(sites, an.exon_lists(an.exon_hits(an.intragenic(pairs), tx), size))
+        assert shown(one, two.columns) == shown(two, two.columns)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[:plan.index("MapInArrow")] and "Repartition" not in plan[:plan.index("MapInArrow")]  # rows by gene go nowhere
+
+
 def test_collapsed_and_corrected_tables_keep_the_partitions_of_the_session(spark):
     from locusflow.operators import fragments as fr
     rows = [("A", "chr1", i % 9, i % 9 + 1, float(i % 5), "+", 20 + i % 3, 1) for i in range(60)]
@@ -663,6 +696,17 @@ def test_equal_pairs_are_located_once_and_repeated_names_stand_for_themselves(sp
     assert got == sorted((s, n, p + 1 + 150 * (f == 147), f, "I" if f == 99 else n) for s, n, p in (("S", "a", 100), ("S", "b", 100), ("S2", "c", 100), ("S", "d", 700)) for f in (99, 147))
 
 
+def test_often_repeated_seeds_are_counted_on_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(lc, "HOT", 50)
+    table = gn.chunked(spark.createDataFrame([("a", "ACGTTGCA" * 60), ("b", "".join(random.Random(4).choices("ACGT", k=400)))], "chrom string, seq string"), 64)
+    every = lc.kmer_seeds(table)
+    want = {r.kmer: r.n for r in every.groupBy("kmer").agg(F.count("pos").alias("n")).collect() if r.n > 50}
+    often = lc._often(table)
+    got = {r.kmer: r.n for r in often.groupBy("kmer").agg(F.count("kmer").alias("n")).collect() if r.n > 50}
+    assert len(want) == 16 and got == want
+    assert often.columns == ["kmer"] and "rest" not in often._jdf.queryExecution().optimizedPlan().toString()  # no seed is written out for it
+
+
 def test_best_placements_are_the_first_of_all_in_order(spark):
     genome = "".join(random.Random(2).choices("ACGT", k=200))
     table = gn.chunked(spark.createDataFrame([(c, genome) for c in "pqrs"], "chrom string, seq string"), 128)
